@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm import byte_bpe
+from marketlens.llm import byte_bpe, language_id, quality_classifier, toxicity
+from marketlens.llm.fitting import labelled_sample
+from marketlens.llm.text import remainder_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -37,3 +39,27 @@ def token_digest(docs: DataFrame) -> DataFrame:
 @query
 def op8_byte_bpe(spark, folder):
     return token_digest(table(spark, folder, "documents"))
+
+
+@query
+def op3_quality_classifier(spark, folder):
+    docs, labels = (table(spark, folder, n) for n in ("documents", "labels"))
+    weights = quality_classifier.fit(labelled_sample(docs, labels, "quality", remainder_of("doc_id", 5) != 0, quality_classifier.MAX_ROWS))
+    return quality_classifier.score(docs, weights).select(
+        "doc_id", (remainder_of("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query
+def op6_language_id(spark, folder):
+    docs = table(spark, folder, "documents")
+    network = language_id.fit(docs, remainder_of("doc_id", 5) != 0)
+    return language_id.predict(docs, network).select(
+        "doc_id", (remainder_of("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op9_toxicity(spark, folder):
+    docs, labels = (table(spark, folder, n) for n in ("documents", "labels"))
+    model = toxicity.fit(toxicity.training_rows(docs, labels, remainder_of("doc_id", 4) != 2))
+    return toxicity.score(docs, model).select(
+        "doc_id", (remainder_of("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
