@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm import byte_bpe, language_id, quality_classifier, toxicity
+from marketlens.llm import byte_bpe, decontaminate, language_id, quality_classifier, toxicity
 from marketlens.llm.fitting import labelled_sample
 from marketlens.llm.text import remainder_of
 
@@ -63,3 +63,37 @@ def op9_toxicity(spark, folder):
     model = toxicity.fit(toxicity.training_rows(docs, labels, remainder_of("doc_id", 4) != 2))
     return toxicity.score(docs, model).select(
         "doc_id", (remainder_of("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query
+def op5_decontaminate(spark, folder):
+    docs, items = (table(spark, folder, n) for n in ("documents", "benchmark"))
+    found = decontaminate.matches(docs, items).withColumn("n_hit", decontaminate.hit_words())
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+ORACLES["op5_decontaminate"] = r"""
+with norm as (
+  select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from benchmark where item_id is not null),
+windows as (
+  select distinct item_id, least(len(w), 10) as size, array_to_string(list_slice(w, i, i + least(len(w), 10) - 1), ' ') as gram
+  from (select item_id, w, unnest(range(1, greatest(len(w) - 10, 0) + 2)) as i from norm where len(w) > 0)),
+doc as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from documents),
+grams as (
+  select doc_id, i, s.size, array_to_string(list_slice(w, i, i + s.size - 1), ' ') as gram
+  from (select doc_id, w, unnest(range(1, len(w) + 1)) as i from doc) d, (select distinct size from windows) s
+  where i + s.size - 1 <= len(w)),
+hits as (select g.doc_id, g.i, g.size, w.item_id from grams g join windows w on w.gram = g.gram and w.size = g.size),
+covered as (select doc_id, count(*) as n_hit from (select distinct doc_id, unnest(range(i, i + size)) as at from hits) group by doc_id),
+named as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items
+          from (select distinct doc_id, cast(item_id as varchar) as item from hits) group by doc_id)
+select d.doc_id, cast(len(d.w) as bigint) as n_words, cast(coalesce(n_hit, 0) as bigint) as n_hit,
+  cast(coalesce(n_items, 0) as bigint) as n_items, sha256(coalesce(items, '')) as items_sha256,
+  coalesce(n_hit, 0) > 0 as contaminated
+from doc d left join covered using (doc_id) left join named using (doc_id)
+"""
