@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm import byte_bpe, decontaminate, language_id, quality_classifier, toxicity
+from marketlens.llm import byte_bpe, decontaminate, language_id, quality_classifier, quality_rules, toxicity
 from marketlens.llm.fitting import labelled_sample
 from marketlens.llm.text import remainder_of
 
@@ -97,3 +97,10 @@ select d.doc_id, cast(len(d.w) as bigint) as n_words, cast(coalesce(n_hit, 0) as
   coalesce(n_hit, 0) > 0 as contaminated
 from doc d left join covered using (doc_id) left join named using (doc_id)
 """
+
+
+@query
+def op4_quality_rules(spark, folder):
+    docs, labels = (table(spark, folder, n) for n in ("documents", "labels"))
+    trees = quality_rules.fit(labelled_sample(docs, labels, "quality", remainder_of("doc_id", 5) != 0, quality_rules.MAX_ROWS))
+    return quality_rules.judge(docs, trees).select("doc_id", *quality_rules.COUNTS, "base_failed", "kept")
