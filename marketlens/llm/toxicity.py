@@ -31,7 +31,7 @@ GRAMS = (3, 4, 5)
 WINDOW = 12
 EPOCHS, LAST_EPOCHS, RATE = 4, 12, 0.1
 BATCH_WORDS = 20_000
-MAX_ROWS = 4_000  # labelled rows of each class that training reads at most
+MAX_ROWS = 2_000  # labelled rows of each class that training reads at most
 MAX_BYTES = 20_000  # longer labelled texts are not learned from
 
 _IN_WORD = np.zeros(256, bool)
