@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm import byte_bpe, decontaminate, language_id, quality_classifier, quality_rules, toxicity
+from marketlens.llm import byte_bpe, decontaminate, language_id, pii, quality_classifier, quality_rules, toxicity
 from marketlens.llm.fitting import labelled_sample
 from marketlens.llm.text import remainder_of
 
@@ -104,3 +104,16 @@ def op4_quality_rules(spark, folder):
     docs, labels = (table(spark, folder, n) for n in ("documents", "labels"))
     trees = quality_rules.fit(labelled_sample(docs, labels, "quality", remainder_of("doc_id", 5) != 0, quality_rules.MAX_ROWS))
     return quality_rules.judge(docs, trees).select("doc_id", *quality_rules.COUNTS, "base_failed", "kept")
+
+
+@query
+def op7_pii(spark, folder):
+    docs = table(spark, folder, "documents")
+    found = pii.find(docs, pii.fit(docs))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *map(count, pii.BASE), F.sha2(pii.spelled(F.filter("spans", lambda s: s["rank"] < len(pii.BASE))), 256).alias("base_sha256"),
+        pii.spelled(F.col("spans")).alias("spans"))
