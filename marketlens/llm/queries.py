@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm import byte_bpe, decontaminate, language_id, pii, quality_classifier, quality_rules, toxicity
+from marketlens.llm import byte_bpe, decontaminate, language_id, line_dedup, pii, quality_classifier, quality_rules, toxicity
 from marketlens.llm.fitting import labelled_sample
 from marketlens.llm.text import remainder_of
 
@@ -117,3 +117,37 @@ def op7_pii(spark, folder):
     return found.select(
         "doc_id", *map(count, pii.BASE), F.sha2(pii.spelled(F.filter("spans", lambda s: s["rank"] < len(pii.BASE))), 256).alias("base_sha256"),
         pii.spelled(F.col("spans")).alias("spans"))
+
+
+@query
+def op1_line_dedup(spark, folder):
+    return line_dedup.dedup_lines(table(spark, folder, "documents").select("doc_id", "text")).select("doc_id", "n_lines", "n_deleted", "text")
+
+
+ORACLES["op1_line_dedup"] = rf"""
+with cut as (
+  select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as pos from documents where text is not null),
+lines as (
+  select doc_id, pos, line, trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as body, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) as words from cut),
+numbered as (
+  select *, sum(case when words > 0 then 1 else 0 end) over (partition by doc_id order by pos rows unbounded preceding) as n from lines),
+worded as (
+  select doc_id, n, body, words, sum(words) over (partition by doc_id order by n rows unbounded preceding) as upto from numbered where words > 0),
+ends as (
+  select a.doc_id, a.n as first, min(b.n) as last from worded a join worded b on a.doc_id = b.doc_id and b.n >= a.n and b.upto - a.upto + a.words >= {line_dedup.MIN_WORDS} group by all
+  union
+  select b.doc_id, max(a.n) as first, b.n as last from worded a join worded b on a.doc_id = b.doc_id and b.n >= a.n and b.upto - a.upto + a.words >= {line_dedup.MIN_WORDS} group by b.doc_id, b.n),
+runs as (
+  select e.doc_id, e.first, e.last, string_agg(w.body, chr(10) order by w.n) as content
+  from ends e join worded w on w.doc_id = e.doc_id and w.n between e.first and e.last group by all),
+ordered as (select *, row_number() over (partition by content order by doc_id, first) as copy from runs),
+gone as (select distinct doc_id, unnest(range(cast(first as bigint), cast(last + 1 as bigint))) as n from ordered where copy > 1),
+rebuilt as (
+  select doc_id, string_agg(line, chr(10) order by pos) as text from numbered l
+  where not exists (select 1 from gone g where g.doc_id = l.doc_id and g.n = l.n) group by doc_id),
+counted as (select doc_id, count(*) as n_lines from worded group by doc_id),
+deleted as (select doc_id, count(*) as n_deleted from gone group by doc_id)
+select d.doc_id, cast(coalesce(n_lines, 0) as bigint) as n_lines, cast(coalesce(n_deleted, 0) as bigint) as n_deleted,
+  case when d.text is not null then coalesce(r.text, '') end as text
+from documents d left join counted using (doc_id) left join deleted using (doc_id) left join rebuilt r using (doc_id)
+"""

@@ -23,9 +23,9 @@ SPACES[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
 
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_BYTE_CODES = np.random.default_rng(20240115).integers(1, 1 << 63, 256, dtype=np.uint64)
+# Two independent polynomial hashes: an odd base each, and a random code for each byte.
+_BASES = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
+_BYTE_CODES = np.random.default_rng(20240115).integers(1, 1 << 63, (2, 256), dtype=np.uint64)
 
 
 def remainder_of(key: str, modulus: int) -> Column:
@@ -63,9 +63,10 @@ def byte_column(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 @lru_cache(maxsize=2)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def _powers(n: int, which: int) -> tuple[np.ndarray, np.ndarray]:
+    base = _BASES[which]
     with np.errstate(over="ignore"):
-        up, down = np.full(n, _BASE), np.full(n, _BASE_INVERSE)
+        up, down = np.full(n, base, np.uint64), np.full(n, pow(base, -1, 1 << 64), np.uint64)
         up[0] = down[0] = 1
         return np.cumprod(up), np.cumprod(down)
 
@@ -87,7 +88,7 @@ class Texts:
         self.data = np.insert(LOWER[data] if lower else data, offsets[1:], 10)
         self.starts = offsets[:-1] + np.arange(self.n)
         self.ends = offsets[1:] + np.arange(self.n)
-        self._sums: np.ndarray | None = None
+        self._sums: dict[int, np.ndarray] = {}
 
     def spans(self, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Maximal runs of bytes that are ``inside``: starts, ends, and first run of each text."""
@@ -104,15 +105,15 @@ class Texts:
         starts = np.append(0, ends[:-1] + 1)
         return starts, ends, np.append(np.searchsorted(starts, self.starts), len(starts))
 
-    def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """64-bit hash of each span's bytes."""
-        size = 1 << max(21, int(len(self.data)).bit_length())
-        up, down = _powers(size)
+    def hashes(self, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
+        """64-bit hash of each span's bytes; ``which`` selects one of two independent hashes."""
+        up, down = _powers(1 << max(21, int(len(self.data)).bit_length()), which)
         with np.errstate(over="ignore"):
-            if self._sums is None:
-                self._sums = np.zeros(len(self.data) + 1, np.uint64)
-                np.cumsum(_BYTE_CODES[self.data] * up[: len(self.data)], out=self._sums[1:])
-            return mixed((self._sums[ends] - self._sums[starts]) * down[starts])
+            if which not in self._sums:
+                sums = np.zeros(len(self.data) + 1, np.uint64)
+                np.cumsum(_BYTE_CODES[which][self.data] * up[: len(self.data)], out=sums[1:])
+                self._sums[which] = sums
+            return mixed((self._sums[which][ends] - self._sums[which][starts]) * down[starts])
 
 
 def rows_of(firsts: np.ndarray) -> np.ndarray:
