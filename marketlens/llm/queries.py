@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm import byte_bpe, decontaminate, language_id, line_dedup, pii, quality_classifier, quality_rules, toxicity
+from marketlens.llm import byte_bpe, decontaminate, language_id, line_dedup, near_dup, pii, quality_classifier, quality_rules, toxicity
 from marketlens.llm.fitting import labelled_sample
 from marketlens.llm.text import remainder_of
 
@@ -151,3 +151,8 @@ select d.doc_id, cast(coalesce(n_lines, 0) as bigint) as n_lines, cast(coalesce(
   case when d.text is not null then coalesce(r.text, '') end as text
 from documents d left join counted using (doc_id) left join deleted using (doc_id) left join rebuilt r using (doc_id)
 """
+
+
+@query
+def op2_minhash_near_dups(spark, folder):
+    return near_dup.near_duplicates(table(spark, folder, "documents"), width=4)
