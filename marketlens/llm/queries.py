@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm import byte_bpe, decontaminate, language_id, line_dedup, near_dup, pii, quality_classifier, quality_rules, toxicity
+from marketlens.llm import byte_bpe, decontaminate, katz_lm, language_id, line_dedup, near_dup, pii, quality_classifier, quality_rules, toxicity
 from marketlens.llm.fitting import labelled_sample
 from marketlens.llm.text import remainder_of
 
@@ -156,3 +156,10 @@ from documents d left join counted using (doc_id) left join deleted using (doc_i
 @query
 def op2_minhash_near_dups(spark, folder):
     return near_dup.near_duplicates(table(spark, folder, "documents"), width=4)
+
+
+@query
+def op10_katz_lm(spark, folder):
+    docs = table(spark, folder, "documents")
+    return katz_lm.katz_scores(docs, remainder_of("doc_id", 10) != 0).select(
+        "doc_id", (remainder_of("doc_id", 10) == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
