@@ -169,31 +169,51 @@ def _sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, width: int) -> D
     return texts.mapInArrow(run, "node long, items binary").dropDuplicates(["node"])
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WORDS, percent: int = MIN_PERCENT) -> DataFrame:
-    """(key, n_shingles, component_id, kept) of every row.
-
-    Rows are linked if their sets have a similarity of ``percent`` or more; ``component_id`` is
-    the smallest key that links lead to, its own included, and ``kept`` marks the row whose key
-    that is. One row for each input row. Rows with one key and several texts are linked only by
-    their texts; repeated rows are all kept or all not. A row without words, null text included,
-    is linked with nothing; so is a row with a null key, which has no component and is kept.
-    Other columns are not read.
-    """
-    scratch = Scratch(docs.sparkSession, "near-dup")
-    own = docs.select(F.col(key).alias("id"), F.xxhash64(text).alias("body"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+def _labelled(own: DataFrame, scratch: Scratch, width: int, percent: int) -> DataFrame:
+    """(id, body, n_shingles, first) of every row; ``first`` is the smallest (id, body) that links
+    lead to, null if there can be no links."""
     known = scratch.save(_described(own, width), "described")
     linkable = F.col("id").isNotNull() & (F.col("n_shingles") > 0)
     grouped = known.where(linkable).groupBy("a", "b").agg(F.min(F.struct("id", "body", "n_shingles", "signature")).alias("rep"))
     nodes = scratch.save(grouped.select("a", "b", "rep", F.monotonically_increasing_id().alias("node")), "nodes")
     labels = scratch.save(_components(own, nodes, scratch, width, percent), "labels")
-    ids = nodes.join(labels, "node", "left").select("a", "b", F.col("rep.id").alias("id"), F.coalesce("label", "node").alias("label"))
-    smallest = ids.groupBy("label").agg(F.min("id").alias("component_id"))
-    found = ids.join(smallest, "label").select("a", "b", "component_id")
-    rows = known.select("id", "n_shingles", "a", "b").join(found, ["a", "b"], "left")
-    component = F.when(linkable, F.col("component_id")).otherwise(F.col("id"))
+    ids = nodes.join(labels, "node", "left").select("a", "b", F.struct("rep.id", "rep.body").alias("rep"), F.coalesce("label", "node").alias("label"))
+    found = ids.join(ids.groupBy("label").agg(F.min("rep").alias("first")), "label").select("a", "b", "first")
+    rows = known.select("id", "body", "n_shingles", "a", "b").join(found, ["a", "b"], "left")
+    return rows.select("id", "body", "n_shingles", F.when(linkable, F.col("first")).alias("first"))
+
+
+def _own(docs: DataFrame, key: str, text: str) -> DataFrame:
+    return docs.select(F.col(key).alias("id"), F.xxhash64(text).alias("body"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WORDS, percent: int = MIN_PERCENT) -> DataFrame:
+    """(key, n_shingles, component_id, kept) of every row.
+
+    Rows are linked if their sets have a similarity of ``percent`` or more; ``component_id`` is
+    the smallest key that links lead to, its own included, and ``kept`` marks the rows whose key
+    that is. One row for each input row; rows with one key and several texts are linked only by
+    their texts. A row without words, null text included, is linked with nothing; so is a row
+    with a null key, which has no component and is kept. Other columns are not read.
+    """
+    rows = _labelled(_own(docs, key, text), Scratch(docs.sparkSession, "near-dup"), width, percent)
+    component = F.coalesce("first.id", "id")
     return rows.select(F.col("id").alias(key), "n_shingles", component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
 
 
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WORDS, percent: int = MIN_PERCENT) -> DataFrame:
+    """The rows of ``docs``, all columns, without near duplicates: the document with the smallest
+    key of each component stays (of texts that share the key, one).
+
+    Rows with the same key and text are one document and stay or go together. Rows that are
+    linked with nothing stay, those without words or key included.
+    """
+    rows = _labelled(_own(docs, key, text), Scratch(docs.sparkSession, "near-dup"), width, percent)
+    stays = F.col("first").isNull() | ((F.col("first.id") == F.col("id")) & (F.col("first.body") == F.col("body")))
+    kept = rows.where(stays).select(F.col("id").alias("__id"), F.col("body").alias("__body")).distinct()
+    return docs.join(kept, F.col(key).eqNullSafe(F.col("__id")) & (F.xxhash64(F.col(text)) == F.col("__body")), "left_semi")
+
+
 def _components(docs: DataFrame, nodes: DataFrame, scratch: Scratch, width: int, percent: int) -> DataFrame:
     """(node, label) of the linked nodes."""
     buckets = _buckets(nodes.select("node", F.col("rep.n_shingles").alias("n"), F.col("rep.signature").alias("signature")), scratch)
