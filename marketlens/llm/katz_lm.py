@@ -46,7 +46,7 @@ _WORD = ~SPACES
 
 def shrunk(values: np.ndarray) -> bytes:
     """Integers as compressed byte planes; high bytes, mostly zero, cost next to nothing."""
-    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes()
     return len(values).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
 
 
@@ -227,7 +227,7 @@ def _backoff(seen: DataFrame, vocab, factors: np.ndarray) -> tuple[np.ndarray, n
         own, where = np.unique(history, return_inverse=True)
         taken = np.bincount(where, discounted(counts, factors) / words.seen[history], len(own))
         lower = np.bincount(where, words.share[word], len(own))
-        return pa.table({"history": own, "taken": taken, "lower": lower})
+        return pa.table({"history": own, "taken": taken.astype(np.float64), "lower": lower.astype(np.float64)})
 
     sums = seen.groupBy("part").applyInArrow(run, "history long, taken double, lower double").groupBy("history").agg(F.sum("taken").alias("taken"), F.sum("lower").alias("lower")).toArrow()
     unseen, scale = np.ones(vocab.value.size), np.ones(vocab.value.size)
