@@ -54,9 +54,10 @@ def lookup(df: DataFrame, dim: DataFrame, on: str, dim_key: str, take: str, defa
            out: str | None = None) -> DataFrame:
     """Name of a code, or ``default`` where the dictionary has none.
 
-    The dictionary must be unique by key; Spark broadcasts it when its size allows.
+    A code listed twice has the smallest of its names. Spark broadcasts the dictionary when its
+    size allows.
     """
-    names = dim.select(F.col(dim_key).alias("_code"), F.col(take).alias("_name"))
+    names = dim.groupBy(F.col(dim_key).alias("_code")).agg(F.min(take).alias("_name"))
     return df.join(names, df[on] == names["_code"], "left").withColumn(
         out or take, F.coalesce("_name", F.lit(default))).drop("_code", "_name")
 
@@ -142,12 +143,12 @@ def current_routes(config: DataFrame) -> DataFrame:
     """Latest entry per source table; a deleted entry routes nothing."""
     return config.groupBy("source_table").agg(
         F.max_by(F.struct("sink_table", "sink_row_key", "op"), "ts_ms").alias("r")
-    ).where("r.op <> 'd'").select("source_table", "r.sink_table", "r.sink_row_key")
+    ).where("not (r.op <=> 'd')").select("source_table", "r.sink_table", "r.sink_row_key")
 
 
 def route_changes(changes: DataFrame, config: DataFrame) -> DataFrame:
     """Target table, md5 row key and payload of every routed, not deleted change."""
-    live = changes.where("op <> 'd' and after is not null")
+    live = changes.where("not (op <=> 'd') and after is not null")
     routed = live.join(current_routes(config), live["table"] == F.col("source_table"))
     key = F.expr("get_json_object(after, concat('$.', sink_row_key))")
     return routed.select("sink_table", row_key(key).alias("row_key"), F.col("after").alias("payload"), "ts_ms")

@@ -6,30 +6,33 @@ then across slices on a frame with one row per slice.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlens.operators.skew import chunk_of, hot_keys, same_key, with_chunk
+from marketlens.operators.skew import chunk_of
 
-MINUTE_MS = 60_000
+MINUTE_MS, HOUR_MS = 60_000, 3_600_000
 BEFORE = (Window.unboundedPreceding, -1)
 
 
-def previous_row(df: DataFrame, keys: list[str], ms: str, tie: str, take: list[str],
-                 width: int = MINUTE_MS, hot: list[tuple] | None = None) -> DataFrame:
+def previous_row(df: DataFrame, keys: list[str], ms: str, tie: str, take: list[str], width: int = HOUR_MS) -> DataFrame:
     """Add ``prev``: a struct of ``take`` from the row before, per key in (ms, tie) order."""
-    hot = hot_keys(df, keys) if hot is None else hot
     payload = F.struct(*take)
-    if not hot:
-        return df.withColumn("prev", F.lag(payload).over(Window.partitionBy(*keys).orderBy(ms, tie)))
-    sliced = with_chunk(df, keys, F.col(ms), width, hot)
-    last = sliced.where(same_key(keys, hot)).groupBy(*keys, "_chunk").agg(
-        F.max_by(payload, F.struct(ms, tie)).alias("_last"))
+    sliced = df.withColumn("_chunk", chunk_of(F.col(ms), width))
+    last = sliced.groupBy(*keys, "_chunk").agg(F.max_by(payload, F.struct(ms, tie)).alias("_last"))
     carry = last.select(*keys, "_chunk", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_chunk")).alias("_carry"))
     inside = sliced.withColumn("prev", F.lag(payload).over(Window.partitionBy(*keys, "_chunk").orderBy(ms, tie)))
-    # Sliced rows already lie by (key, slice), so this join adds no shuffle of the large side.
-    return inside.join(carry, [*keys, "_chunk"], "left").withColumn(
-        "prev", F.coalesce("prev", "_carry")).drop("_chunk", "_carry")
+    return _beside(inside, carry, keys).withColumn("prev", F.coalesce("prev", "_carry")).drop("_chunk", "_carry")
+
+
+def _beside(rows: DataFrame, slices: DataFrame, keys: list[str]) -> DataFrame:
+    """Each row with its slice's row; null keys are equal."""
+    on = [*keys, "_chunk"]
+    right = slices.withColumnsRenamed({c: f"_of_{c}" for c in on})
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in on])
+    return rows.join(right, same, "left").drop(*[f"_of_{c}" for c in on])
 
 
 def running_total(df: DataFrame, keys: list[str], order: list[str], totals: dict[str, Column],
@@ -42,7 +45,7 @@ def running_total(df: DataFrame, keys: list[str], order: list[str], totals: dict
         F.sum(f"_sum_{n}").over(across).alias(f"_before_{n}") for n in totals])
     inside = Window.partitionBy(*keys, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     running = sliced.withColumns({f"_in_{n}": F.sum(c).over(inside) for n, c in totals.items()})
-    return running.join(offsets, [*keys, "_chunk"], "left").withColumns({
+    return _beside(running, offsets, keys).withColumns({
         n: F.col(f"_in_{n}") + F.coalesce(F.col(f"_before_{n}"), F.lit(0)) for n in totals
     }).drop("_chunk", *[f"_{p}_{n}" for n in totals for p in ("in", "before")])
 
@@ -52,38 +55,30 @@ def running_counts(df: DataFrame, keys: list[str], ms: str, tie: str, width: int
     return running_total(df, keys, [ms, tie], {"running_count": F.lit(1).cast("long")}, chunk_of(F.col(ms), width))
 
 
-def keep_rising(df: DataFrame, keys: list[str], arrival: str, ts: str,
-                width: int = 1_000_000, hot: list[tuple] | None = None) -> DataFrame:
-    """Keep a row when its ``ts`` is above every ``ts`` that arrived before it for the key."""
-    hot = hot_keys(df, keys) if hot is None else hot
-    if not hot:
-        seen = F.max(ts).over(Window.partitionBy(*keys).orderBy(arrival).rowsBetween(*BEFORE))
-        return df.withColumn("_seen", seen).where(F.col("_seen").isNull() | (F.col(ts) > F.col("_seen"))).drop("_seen")
-    sliced = with_chunk(df, keys, F.col(arrival), width, hot)
-    tops = sliced.where(same_key(keys, hot)).groupBy(*keys, "_chunk").agg(F.max(ts).alias("_top"))
+def keep_rising(df: DataFrame, keys: list[str], arrival: str, ts: str, width: int = 1_000_000, tie: str | None = None) -> DataFrame:
+    """Keep a row when its ``ts`` is above every ``ts`` that arrived before it for the key.
+
+    Rows that arrive together are taken by rising ``ts`` unless ``tie`` orders them.
+    """
+    sliced = df.withColumn("_chunk", chunk_of(F.col(arrival), width))
+    tops = sliced.groupBy(*keys, "_chunk").agg(F.max(ts).alias("_top"))
     carry = tops.select(*keys, "_chunk", F.max("_top").over(
         Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(*BEFORE)).alias("_carry"))
-    seen = F.max(ts).over(Window.partitionBy(*keys, "_chunk").orderBy(arrival).rowsBetween(*BEFORE))
-    return sliced.withColumn("_seen", seen).join(carry, [*keys, "_chunk"], "left").withColumn(
+    seen = F.max(ts).over(Window.partitionBy(*keys, "_chunk").orderBy(arrival, tie or ts).rowsBetween(*BEFORE))
+    return _beside(sliced.withColumn("_seen", seen), carry, keys).withColumn(
         "_seen", F.greatest("_seen", "_carry")
     ).where(F.col("_seen").isNull() | (F.col(ts) > F.col("_seen"))).drop("_seen", "_carry", "_chunk")
 
 
-def count_recent(df: DataFrame, keys: list[str], ms: str, span: int = MINUTE_MS,
-                 hot: list[tuple] | None = None) -> DataFrame:
+def count_recent(df: DataFrame, keys: list[str], ms: str, span: int = MINUTE_MS) -> DataFrame:
     """Add ``recent``: rows of the key less than ``span`` milliseconds back, itself included.
 
-    Rows of hot keys are copied into the slice after their own, so each slice of width
-    ``span`` holds every row its members look back at; the copies are dropped afterwards.
+    Rows are copied into the slice after their own, so each slice of width ``span`` holds every
+    row its members look back at; the copies are dropped afterwards.
     """
-    hot = hot_keys(df, keys) if hot is None else hot
-    if not hot:
-        recent = Window.partitionBy(*keys).orderBy(ms).rangeBetween(-(span - 1), 0)
-        return df.withColumn("recent", F.count(F.lit(1)).over(recent))
-    own = with_chunk(df, keys, F.col(ms), span, hot).withColumnRenamed("_chunk", "_own")
-    slices = F.when(same_key(keys, hot), F.array("_own", F.col("_own") + 1)).otherwise(F.array("_own"))
+    own = df.withColumn("_own", chunk_of(F.col(ms), span))
     recent = Window.partitionBy(*keys, "_chunk").orderBy(ms).rangeBetween(-(span - 1), 0)
-    return own.withColumn("_chunk", F.explode(slices)).withColumn(
+    return own.withColumn("_chunk", F.explode(F.array("_own", F.col("_own") + 1))).withColumn(
         "recent", F.count(F.lit(1)).over(recent)).where("_chunk = _own").drop("_chunk", "_own")
 
 
@@ -97,24 +92,14 @@ def top_n(df: DataFrame, keys: list[str], value: str, tie: str, n: int) -> DataF
 
 
 def ordered_list(df: DataFrame, keys: list[str], item: Column, ms: str, tie: str, sep: str = ",",
-                 part_size: int = 1000, width: int = MINUTE_MS, hot: list[tuple] | None = None,
-                 slice_all: bool = False) -> DataFrame:
+                 part_size: int = 1000, width: int = HOUR_MS) -> DataFrame:
     """Join items as text in (ms, tie) order.
 
     A list longer than ``part_size`` continues in further rows: ``part`` 0, 1, 2, ... joined
     in that order give the whole list, while no row ever holds an unbounded group.
-    ``slice_all`` numbers every key slice by slice, for keys that are few and large.
     """
-    hot = [] if slice_all else hot_keys(df, keys) if hot is None else hot
     listed = df.select(*keys, F.col(ms).alias("_ms"), F.col(tie).alias("_tie"), item.cast("string").alias("_item"))
-    chunk = chunk_of(F.col("_ms"), width)
-    if not slice_all:
-        chunk = F.when(same_key(keys, hot), chunk).otherwise(F.lit(0).cast("long"))
-    if not (hot or slice_all):
-        place = F.row_number().over(Window.partitionBy(*keys).orderBy("_ms", "_tie"))
-        numbered = listed.withColumn("_place", place.cast("long"))
-    else:
-        numbered = running_total(listed, keys, ["_ms", "_tie"], {"_place": F.lit(1).cast("long")}, chunk)
+    numbered = running_total(listed, keys, ["_ms", "_tie"], {"_place": F.lit(1).cast("long")}, chunk_of(F.col("_ms"), width))
     return numbered.withColumn("part", F.floor((F.col("_place") - 1) / part_size).cast("long")).groupBy(*keys, "part").agg(
         F.expr(f"listagg(_item, '{sep}') within group (order by _place)").alias("items"),
         F.count("_item").alias("item_count"))

@@ -1,9 +1,9 @@
-"""Hot keys: find them, split them, salt them.
+"""Hot keys: slices and salted buckets.
 
 A key may hold a large share of all rows. Aggregations combine before their shuffle and are
-safe; ordered (window) work is not, because one key is one task. ``with_chunk`` cuts the
-rows of hot keys into time slices so that ordered work runs per (key, slice), and a small
-frame of one row per slice carries results across slice borders.
+safe; ordered (window) work is not, because one key is one task. Ordered operators therefore
+cut every key into slices of its order, run per (key, slice), and carry results across slice
+borders on a small frame of one row per slice. All keys take the same plan.
 """
 
 from __future__ import annotations
@@ -13,36 +13,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_SHARE = 0.01       # a hot key holds at least this share of the rows ...
-HOT_ROWS = 5_000_000   # ... and more rows than one task should order
-
-
-def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE, rows: int = HOT_ROWS) -> list[tuple]:
-    """The hot keys of a frame. At most ``1 / share`` of them can exist, so the list is small."""
-    if df.isStreaming:
-        return []
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    least = counts.select((F.sum("n") * share).alias("least")).scalar()
-    hot = counts.where((F.col("n") >= rows) & (F.col("n") >= least))
-    return [tuple(row[k] for k in keys) for row in hot.select(*keys).collect()]
-
-
-def same_key(keys: list[str], listed: list[tuple]) -> Column:
-    """True where the row's key is one of the listed keys."""
-    def same(key):
-        return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.lit(v)) for k, v in zip(keys, key)])
-    return reduce(lambda a, b: a | b, [same(key) for key in listed], F.lit(False))
-
-
 def chunk_of(order: Column, width: int) -> Column:
     return F.floor(order / width).cast("long")
 
 
-def with_chunk(df: DataFrame, keys: list[str], order: Column, width: int, hot: list[tuple]) -> DataFrame:
-    """Add ``_chunk``: a slice number for rows of hot keys, 0 for all other rows."""
-    return df.withColumn("_chunk", F.when(same_key(keys, hot), chunk_of(order, width)).otherwise(F.lit(0).cast("long")))
-
-
 # Addresses that own a bucket of their own in the salted layout.
 RESERVED_BUCKETS = {
     "0x0000000000000000000000000000000000000000": "9001",

@@ -68,9 +68,10 @@ def cumulate(df: DataFrame, ms: str, step: int, sums: dict[str, Column], keys: l
 def cumulate_top(df: DataFrame, ms: str, step: int, item: str, amount: Column, n: int = 5) -> DataFrame:
     """Top items by amount in every cumulating day window.
 
-    Amounts are not negative, so an item outside the best ``n`` of the items that sold in
+    On a day without negative amounts, an item outside the best ``n`` of the items that sold in
     its step cannot come back before it sells again: later steps only raise the others.
-    Candidates are therefore at most ``n`` rows per step, whatever the number of items.
+    Candidates are then at most ``n`` rows per step, whatever the number of items. On a day with
+    a negative amount (a refund) every item is a candidate in each step until it sells again.
     """
     per_step = steps(df, ms, step).groupBy("_day", item, "_step").agg(F.sum(amount).alias("_amount"))
     upto = Window.partitionBy("_day", item).orderBy("_step")
@@ -78,7 +79,9 @@ def cumulate_top(df: DataFrame, ms: str, step: int, item: str, amount: Column, n
         "amount": F.sum("_amount").over(upto.rowsBetween(Window.unboundedPreceding, 0)),
         "_next": F.coalesce(F.lead("_step").over(upto), F.lit(DAY_MS // step)),
     }).drop("_amount")
-    candidates = top_n(running, ["_day", "_step"], "amount", item, n).drop("rn")
+    falls = per_step.where("_amount < 0").select("_day").distinct()
+    candidates = top_n(running.join(falls, "_day", "left_anti"), ["_day", "_step"], "amount", item, n).drop("rn").unionByName(
+        running.join(falls, "_day", "left_semi"))
     shown = candidates.withColumn("_step", F.explode(F.sequence("_step", F.col("_next") - 1))).drop("_next")
     return window_bounds(top_n(shown, ["_day", "_step"], "amount", item, n), step)
 

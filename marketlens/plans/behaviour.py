@@ -77,7 +77,9 @@ def device_tree(log: DataFrame) -> DataFrame:
     counted = with_ms(log.where("plat is not null and brand is not null and platv is not null")).groupBy(
         "stat_date", "plat", "brand", "platv").agg(F.count(F.lit(1)).alias("n"))
     def nest(frame, keys, name, value):
-        entries = F.array_sort(F.collect_list(F.struct(F.col(name), F.col(value))))
+        # Names of one level are distinct; devices, brands and versions of a day are closed sets.
+        entries = F.array_sort(F.collect_list(F.struct(F.col(name).alias("key"), F.col(value).alias("value"))),
+                               lambda a, b: F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0))
         return frame.groupBy(*keys).agg(F.map_from_entries(entries).alias("inner"))
     versions = nest(counted, ["stat_date", "plat", "brand"], "platv", "n")
     brands = nest(versions.withColumnRenamed("inner", "v"), ["stat_date", "plat"], "brand", "v")
@@ -100,22 +102,22 @@ def union_history(history: DataFrame, live: DataFrame) -> DataFrame:
 
 
 # ---- paths ---------------------------------------------------------------------------
-def page_transitions(log: DataFrame, hot: list[tuple] | None = None) -> DataFrame:
+def page_transitions(log: DataFrame) -> DataFrame:
     """Previous and current page per user with the time spent in between."""
     rows = path_events(log).select("user_id", "log_id", "ms", "log_type")
-    back = previous_row(rows, ["user_id"], "ms", "log_id", ["log_type", "ms"], hot=hot)
+    back = previous_row(rows, ["user_id"], "ms", "log_id", ["log_type", "ms"])
     return back.select(
         "user_id", F.col("prev.log_type").alias("last_page"), F.col("log_type").alias("current_page"),
         F.col("ms").alias("ts_ms"), F.floor((F.col("ms") - F.col("prev.ms")) / 1000).cast("long").alias("stay_seconds"))
 
 
-def path_anomalies(log: DataFrame, hot: list[tuple] | None = None) -> DataFrame:
+def path_anomalies(log: DataFrame) -> DataFrame:
     """More than five equal actions inside 60 s, and a product page right after payment or order."""
     rows = path_events(log).select("user_id", "stat_date", "log_id", "ms", "log_type", "order_id")
     days = ["user_id", "stat_date"]
-    repeats = count_recent(rows, [*days, "log_type"], "ms", hot=hot).where("recent > 5").select(
+    repeats = count_recent(rows, [*days, "log_type"], "ms").where("recent > 5").select(
         "user_id", "ms", F.lit("repeat").alias("kind"), F.concat_ws(":", "log_type", F.col("recent").cast("string")).alias("detail"))
-    back = previous_row(rows, days, "ms", "log_id", ["log_type", "order_id"], hot=hot if hot is None else [k[:2] for k in hot])
+    back = previous_row(rows, days, "ms", "log_id", ["log_type", "order_id"])
     steps = back.where((F.col("log_type") == "product_detail") & F.col("prev.log_type").isin("payment", "order_confirm")).select(
         "user_id", "ms", F.when(F.col("prev.log_type") == "payment", "after_payment").otherwise("hesitation").alias("kind"),
         F.coalesce(F.col("prev.order_id").cast("string"), F.lit("")).alias("detail"))
@@ -148,15 +150,14 @@ def user_types(days: DataFrame, rule: str = "v1107", history: str = "before") ->
     return past.withColumn("user_type", kind)
 
 
-def user_paths(log: DataFrame, rule: str = "v1107", history: str = "before", part_size: int = 1000,
-               hot: list[tuple] | None = None) -> DataFrame:
+def user_paths(log: DataFrame, rule: str = "v1107", history: str = "before", part_size: int = 1000) -> DataFrame:
     """Daily path of every user with conversion, size, duration and user type.
 
     A path longer than ``part_size`` pages continues in the rows ``part`` 1, 2, ...
     """
     days = user_types(path_days(log), rule, history)
     rows = path_events(log).select("user_id", F.col("stat_date").alias("analysis_date"), "ms", "log_id", "log_type")
-    paths = ordered_list(rows, ["user_id", "analysis_date"], F.col("log_type"), "ms", "log_id", ARROW, part_size, hot=hot)
+    paths = ordered_list(rows, ["user_id", "analysis_date"], F.col("log_type"), "ms", "log_id", ARROW, part_size)
     return paths.join(days, ["user_id", "analysis_date"]).select(
         "user_id", "analysis_date", "part", F.col("items").alias("path_sequence"),
         F.when(F.col("converted") == 1, "已转化").otherwise("未转化").alias("conversion_status"),

@@ -532,18 +532,18 @@ def product_full_metrics(s):
 
 @query
 def sku_daily(s):
-    return warehouse.sku_daily(_behaviour(s), _trade(s), s.sku_info())
+    return warehouse.sku_daily(_behaviour(s), _trade(s), s.sku_info(), s.category3())
 
 
 @query
 def category_daily(s):
     tree = joins.category_tree(s.category3(), s.category2(), s.category1())
-    return warehouse.category_daily(warehouse.sku_daily(_behaviour(s), _trade(s), s.sku_info()), tree)
+    return warehouse.category_daily(warehouse.sku_daily(_behaviour(s), _trade(s), s.sku_info(), s.category3()), tree)
 
 
 @query
 def brand_daily(s):
-    return warehouse.brand_daily(warehouse.sku_daily(_behaviour(s), _trade(s), s.sku_info()))
+    return warehouse.brand_daily(warehouse.sku_daily(_behaviour(s), _trade(s), s.sku_info(), s.category3()))
 
 
 @query
@@ -812,6 +812,11 @@ def attribute_sales(s):
     return market.attribute_sales(s.order_detail())
 
 
+@query
+def attribute_sales_size(s):
+    return market.attribute_sales(s.order_detail(), "sku_size")
+
+
 @query
 def price_trend(s):
     return market.price_trend(s.order_info(), s.order_detail(), s.ods_logs())
@@ -888,7 +893,7 @@ def user_labels(s):
 
 @query
 def label_records(s):
-    return labels.label_records(labels.user_labels(labels.user_scores(_log_scores(s), _line_scores(s)), _base(s)))
+    return labels.label_records(labels.user_labels(labels.user_scores(_log_scores(s), _line_scores(s)), _base(s)), _log_profile(s).where("uid <> '-1'"))
 
 
 # ---- comments, vehicles, quality, clusters -------------------------------------------

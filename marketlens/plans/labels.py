@@ -92,13 +92,17 @@ def user_log_profile(pages: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("pv"), *[joined(c) for c in ("os", "ch", "md", "ba")],
         F.max_by("search_item", F.when(F.col("search_item").isNotNull(), F.col("ts"))).alias("last_search"), F.max("ts").alias("ts_ms"))
     words = unique.where("search_item is not null").groupBy("uid", "search_item").agg(F.min("ts").alias("ms"))
-    lists = ordered_list(words, ["uid"], F.col("search_item"), "ms", "search_item", hot=[])
+    lists = ordered_list(words, ["uid"], F.col("search_item"), "ms", "search_item")
     return base.join(lists.select("uid", "part", F.col("items").alias("search_item")), "uid", "left").fillna(0, ["part"]).fillna("", ["search_item"])
 
 
 def device_search_scores(profile: DataFrame, categories: DataFrame, interests: DataFrame, search: str = "last_search") -> DataFrame:
-    """Scores from the first operating system and the interest class of a search word."""
-    known = search_interest(profile.where("part = 0"), categories, interests, search).withColumn("judge_os", F.split("os", ",")[0])
+    """Scores from the first operating system and the interest class of a search word.
+
+    One row for each user; the word lists, which may take several rows, join the record later.
+    """
+    users = profile.drop("part", "search_item").distinct()
+    known = search_interest(users, categories, interests, search).withColumn("judge_os", F.split("os", ",")[0])
     return known.withColumns({**band_scores(F.col("judge_os"), DEVICE_SCORES, "device"),
                               **band_scores(F.col("search_category"), SEARCH_SCORES, "search")})
 
@@ -152,7 +156,7 @@ def base_profile(users: DataFrame, bodies: DataFrame, as_of: str) -> DataFrame:
 
 def user_scores(log_scores: DataFrame, line_scores: DataFrame, mode: str = "all") -> DataFrame:
     """Log scores joined with the order scores of the same user within six hours, and their sums."""
-    log = log_scores.select(F.col("uid").cast("long").alias("log_uid"), F.col("ts_ms").alias("log_ms"), "pv", "os", "ch", "md", "ba", "search_item",
+    log = log_scores.select(F.col("uid").cast("long").alias("log_uid"), F.col("ts_ms").alias("log_ms"), "pv", "os", "ch", "md", "ba",
                             "judge_os", *[f"{p}_{b}" for p in LOG_PARTS for b in BANDS])
     joined = interval_join(log, line_scores, "log_uid", "uid", "log_ms", "ts_ms", 6 * HOUR, 6 * HOUR)
     return score_sums(joined, mode)
@@ -166,8 +170,14 @@ def user_labels(scores: DataFrame, base: DataFrame) -> DataFrame:
     return joined.withColumn("ds", F.regexp_replace(ms_day("ts_ms"), "-", ""))
 
 
-def label_records(labels: DataFrame) -> DataFrame:
-    """The label rows as nested JSON records, one per topic message."""
+def label_records(labels: DataFrame, profile: DataFrame) -> DataFrame:
+    """The label rows as nested JSON records, one per topic message.
+
+    A user's search words come from all rows of ``profile``; a list that takes several rows
+    gives as many records, numbered by ``part``.
+    """
+    words = profile.select(F.col("uid").cast("long").alias("_uid"), "part", "search_item")
+    labels = labels.join(words, F.col("uid") == F.col("_uid"))
     record = F.struct(
         "uid", F.col("consignee").alias("uname"), "ts_ms",
         F.struct("decade", "zodiac_sign", "gender", "height", "weight", "user_level", "birthday", "judge_os", F.col("age").alias("base_age")).alias("user_base_label"),
@@ -176,4 +186,4 @@ def label_records(labels: DataFrame) -> DataFrame:
         F.struct(F.struct(*[F.col(f"sum_{b}").alias(f"age_sum{b}") for b in BANDS]).alias("computer_age_info"), "spending_pow",
                  F.struct("calculate_age", "calculate_score").alias("calculate_age")).alias("user_calculate_label"),
         F.struct("sku_name", "b1_name", "tname", "sku_id").alias("sup_info_message"), "ds")
-    return labels.select("uid", "detail_id", F.to_json(record).alias("record"))
+    return labels.select("uid", "detail_id", "part", F.to_json(record).alias("record"))

@@ -42,14 +42,14 @@ def rolling_product(logs: DataFrame, orders: DataFrame, details: DataFrame, days
         *[money(F.coalesce(f"pay_{n}d", F.lit(0))).alias(f"pay_{n}d") for n in days])
 
 
-def onward_items(ecommerce: DataFrame, k: int = 5, hot: list[tuple] | None = None) -> DataFrame:
+def onward_items(ecommerce: DataFrame, k: int = 5) -> DataFrame:
     """To which products the visitors of a product move on next: users, moves and the best ``k``.
 
     Each event leads to one next product, so the work is linear in the events; pairs of all
     products of a user are never formed.
     """
     rows = ecommerce.select("user_id", "event_id", "product_id", millis("visit_time").alias("ms"))
-    back = previous_row(rows, ["user_id"], "ms", "event_id", ["product_id"], hot=hot)
+    back = previous_row(rows, ["user_id"], "ms", "event_id", ["product_id"])
     moves = back.where(F.col("prev").isNotNull() & (F.col("prev.product_id") != F.col("product_id"))).select(
         F.col("prev.product_id").alias("item_a"), F.col("product_id").alias("item_b"), "user_id")
     counts = moves.groupBy("item_a", "item_b", "user_id").agg(F.count(F.lit(1)).alias("n")).groupBy("item_a", "item_b").agg(

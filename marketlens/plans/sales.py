@@ -94,7 +94,7 @@ def cumulative_process(sales: DataFrame, step: int = TEN_MINUTES, part_size: int
         "window_end", ((F.floor(F.col("ms") / step) + 1) * step).cast("long"))
     keys = ["window_start", "window_end"]
     entry = F.concat(F.col("id").cast("string"), F.lit("("), F.col("amount").cast("string"), F.lit(")"))
-    texts = ordered_list(rows, keys, entry, "ms", "id", "+", part_size, slice_all=True)
+    texts = ordered_list(rows, keys, entry, "ms", "id", "+", part_size)
     grown = cumulate(rows.select("ms", "amount"), "ms", step, {"total": F.col("amount")})
     return window_text(texts.join(grown, keys)).select(
         "window_start", "window_end", "part", F.col("items").alias("step_process"), "item_count", money("total").alias("period_amount"))

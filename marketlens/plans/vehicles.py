@@ -42,14 +42,18 @@ def vehicle_alarms(reports: DataFrame, rules: DataFrame) -> DataFrame:
     return flagged.unionByName(listed)
 
 
-def trip_distance(fixes: DataFrame, method: str = "haversine", idle_m: float = 1000.0, jump_m: float = 80_000.0,
-                  hot: list[tuple] | None = None) -> DataFrame:
-    """Metres driven per vehicle and day, with fixes that hardly moved and fixes that jumped."""
+def trip_distance(fixes: DataFrame, method: str = "haversine", idle_m: float = 1000.0, jump_m: float = 80_000.0) -> DataFrame:
+    """Metres driven per vehicle and day, with fixes that hardly moved and fixes that jumped.
+
+    A vehicle's first fix of all has moved 0 m and counts neither as idle nor as a jump. Fixes
+    without a readable time are left out.
+    """
     rows = fixes.select("vehicleno", "id", "lon", "lat", "dateTime", F.substring("dateTime", 1, 8).alias("day"),
-                        F.unix_millis(F.to_timestamp("dateTime", F.lit("yyyyMMddHHmmss"))).alias("ms"))
-    back = previous_row(rows, ["vehicleno"], "ms", "id", ["lon", "lat"], hot=hot)
+                        F.unix_millis(F.try_to_timestamp("dateTime", F.lit("yyyyMMddHHmmss"))).alias("ms")).where("ms is not null")
+    back = previous_row(rows, ["vehicleno"], "ms", "id", ["lon", "lat"])
     measure = haversine if method == "haversine" else ellipsoid
-    moved = back.where("prev is not null").withColumn("metres", measure(F.col("prev.lon"), F.col("prev.lat"), F.col("lon"), F.col("lat")))
+    moved = back.withColumn("metres", F.when(F.col("prev").isNotNull(), measure(
+        F.coalesce("prev.lon", "lon"), F.coalesce("prev.lat", "lat"), F.col("lon"), F.col("lat"))))
     return moved.groupBy("vehicleno", "day").agg(
-        F.round(F.sum("metres"), 0).alias("distance_m"), F.count_if(F.col("metres") > jump_m).alias("jumps"),
+        F.round(F.coalesce(F.sum("metres"), F.lit(0.0)), 0).alias("distance_m"), F.count_if(F.col("metres") > jump_m).alias("jumps"),
         F.count_if(F.col("metres") < idle_m).alias("idle_fixes"))

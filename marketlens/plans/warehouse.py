@@ -130,6 +130,12 @@ def product_full_metrics(logs: DataFrame, favourites: DataFrame, cart: DataFrame
 
 
 # ---- daily summaries -----------------------------------------------------------------
+def price_of(amount: str, n: str) -> Column:
+    """Amount by number, exactly rounded to cents; 0 without a number."""
+    exact = F.try_divide(F.col(amount).cast("decimal(16,2)"), F.col(n).cast("decimal(12,0)"))
+    return F.coalesce(F.round(exact, 2), F.lit(0)).cast("double")
+
+
 def _users_who(kind: str) -> Column:
     return F.count_if(F.col(f"{kind}_n") > 0)
 
@@ -145,7 +151,7 @@ def _behaviour_per_user(behaviour: DataFrame, keys: list[str]) -> DataFrame:
         F.max("behavior_time").alias("last_time"))
 
 
-def sku_daily(behaviour: DataFrame, trade: DataFrame, sku: DataFrame) -> DataFrame:
+def sku_daily(behaviour: DataFrame, trade: DataFrame, sku: DataFrame, categories: DataFrame) -> DataFrame:
     """Product summary per day: interaction, orders, payments, conversion and value."""
     keys = ["stat_date", "sku_id"]
     seen = _behaviour_per_user(behaviour, keys).groupBy(*keys).agg(
@@ -157,19 +163,20 @@ def sku_daily(behaviour: DataFrame, trade: DataFrame, sku: DataFrame) -> DataFra
     paid = trade.withColumn("stat_date", day_text("payment_time")).groupBy(*keys).agg(
         F.count_distinct("user_id").alias("payment_user_count"), F.sum("sku_num").alias("payment_sku_count"),
         F.sum("total_amount").alias("payment_amount"))
-    names = sku.select("sku_id", "sku_name", "category3_id", "tm_id", "tm_name")
+    names = sku.select("sku_id", "sku_name", "category3_id", "tm_id", "tm_name").join(
+        categories.select("category3_id", "category3_name"), "category3_id", "left")
     both = seen.join(paid, keys, "left").fillna(0, ["payment_user_count", "payment_sku_count"]).withColumn(
         "payment_amount", F.coalesce("payment_amount", F.lit(0)))
     rate = lambda users: safe_ratio(users, "visitor_count", 4)
     return both.join(names, "sku_id", "left").select(
-        "stat_date", "sku_id", "sku_name", "category3_id", "tm_id", "tm_name", "visitor_count", "page_view_count",
+        "stat_date", "sku_id", "sku_name", "category3_id", "category3_name", "tm_id", "tm_name", "visitor_count", "page_view_count",
         "favor_count", "cart_count", "cart_user_count", "order_user_count", "order_sku_count",
         money("order_amount").alias("order_amount"), "payment_user_count", "payment_sku_count",
         money("payment_amount").alias("payment_amount"), rate("favor_count").alias("visitor_to_favor_rate"),
         rate("cart_user_count").alias("visitor_to_cart_rate"), rate("order_user_count").alias("visitor_to_order_rate"),
         rate("payment_user_count").alias("visitor_to_payment_rate"),
-        safe_ratio("payment_amount", "payment_user_count", 2, 0).alias("avg_order_price"),
-        safe_ratio("payment_amount", "visitor_count", 2).alias("visitor_avg_value"))
+        price_of("payment_amount", "payment_user_count").alias("avg_order_price"),
+        price_of("payment_amount", "visitor_count").alias("visitor_avg_value"))
 
 
 def _roll_up(daily: DataFrame, keys: list[str]) -> DataFrame:
@@ -177,11 +184,11 @@ def _roll_up(daily: DataFrame, keys: list[str]) -> DataFrame:
     return daily.groupBy(*keys).agg(
         F.sum("visitor_count").alias("visitor_count"), F.count(ONE).alias("sku_with_visitor_count"),
         F.sum("payment_user_count").alias("payment_user_count"), F.sum("payment_sku_count").alias("payment_sku_count"),
-        F.round(F.sum(F.col("payment_amount").cast("decimal(16,2)")).cast("double"), 2).alias("payment_amount"),
+        F.sum(F.col("payment_amount").cast("decimal(16,2)")).alias("payment_amount"),
         F.count_if(F.col("payment_user_count") > 0).alias("sku_with_payment_count"),
     ).withColumns({
         "payment_conversion_rate": safe_ratio("payment_user_count", "visitor_count", 4),
-        "avg_order_price": safe_ratio("payment_amount", "payment_user_count", 2, 0)})
+        "avg_order_price": price_of("payment_amount", "payment_user_count"), "payment_amount": money("payment_amount")})
 
 
 def category_daily(daily: DataFrame, tree: DataFrame) -> DataFrame:

@@ -2,20 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import SparkSession
 
 # Settings that may be changed on a running session. AQE measures shuffle sizes at run
 # time: it merges small partitions, splits skewed join partitions and turns a join into a
 # broadcast only when the measured side is below the threshold.
 RUNTIME_SETTINGS = {
-    "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -27,27 +22,11 @@ STREAM_SETTINGS = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply the settings every job relies on; the caller's sizing is left alone."""
-    for name, value in {**RUNTIME_SETTINGS, **STREAM_SETTINGS}.items():
-        spark.conf.set(name, value)
-    return spark
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors can reach, for checkpoints and written intermediates.
+def configure(spark: SparkSession, tz: str = "UTC") -> SparkSession:
+    """Apply the settings every job relies on; the caller's sizing is left alone.
 
-    The cluster names it in ``spark.checkpoint.dir``. A temporary folder is only used by
-    a local session, where every task runs on this machine.
+    ``tz`` is the zone in which days and hours are cut.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    return "file:" + tempfile.mkdtemp(prefix="marketlens-")
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    for name, value in {**RUNTIME_SETTINGS, **STREAM_SETTINGS, "spark.sql.session.timeZone": tz}.items():
+        spark.conf.set(name, value)
+    return spark

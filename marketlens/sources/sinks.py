@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 
 from marketlens.functions.calendar import day_bucket
 from marketlens.functions.columns import row_key
-from marketlens.operators.skew import same_key
-
-TOUCHED_LIMIT = 1000
 
 
 def overwrite_partition(df: DataFrame, path: str, column: str, value) -> None:
@@ -43,11 +40,14 @@ def upsert_by_key(target: DataFrame, batch: DataFrame, keys: list[str], order_co
 
 
 def partial_update(target: DataFrame, batch: DataFrame, keys: list[str], seq_col: str, op_col: str | None = "op") -> DataFrame:
-    """Merge where each column keeps its latest non-null value; deletes change nothing."""
-    live = batch.where(F.col(op_col) != "d").drop(op_col) if op_col and op_col in batch.columns else batch
+    """Merge where each column keeps its latest non-null value; deletes change nothing.
+
+    Rows without an operation count as updates. Of equally late values the largest stays.
+    """
+    live = batch.where(~F.col(op_col).eqNullSafe("d")).drop(op_col) if op_col and op_col in batch.columns else batch
     rest = [c for c in target.columns if c not in (*keys, seq_col)]
     def latest(c):
-        return F.max_by(c, F.when(F.col(c).isNotNull(), F.col(seq_col))).alias(c)
+        return F.max_by(c, F.when(F.col(c).isNotNull(), F.struct(seq_col, c))).alias(c)
     return target.unionByName(live).groupBy(*keys).agg(F.max(seq_col).alias(seq_col), *[latest(c) for c in rest]).select(*target.columns)
 
 
@@ -65,16 +65,17 @@ def merge_partitions(spark: SparkSession, path: str, batch: DataFrame, keys: lis
     The merge keeps the newest row per key, so running the same batch again changes nothing.
     New partitions are created as they appear.
     """
-    # A list of partition values, not of rows; past the limit the whole table is merged.
-    touched = batch.select(*partitions).distinct().limit(TOUCHED_LIMIT + 1).collect()
     try:
         current = spark.read.schema(batch.schema).parquet(path).select(*batch.columns)
     except AnalysisException as missing:  # the first batch creates the table
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         current = batch.where("false")
-    if len(touched) <= TOUCHED_LIMIT:
-        current = current.where(same_key(partitions, [tuple(row) for row in touched]))
+    # Only rows of partitions that the batch touches are merged and written again; Spark prunes
+    # the others by the join with the batch's distinct partition values.
+    touched = batch.select(*[F.col(p).alias(f"_{p}") for p in partitions]).distinct()
+    same = reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.col(f"_{p}")) for p in partitions])
+    current = current.join(touched, same, "left_semi")
     merged = upsert_by_key(current, batch, [*keys, *[p for p in partitions if p not in keys]], order_col)
     merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
 
@@ -83,10 +84,14 @@ def with_day_bucket(df: DataFrame, ts_col: str) -> DataFrame:
     return df.withColumn("day", day_bucket(ts_col))
 
 
-def write_day_buckets(df: DataFrame, ts_col: str, path: str) -> None:
-    """Rolling JSON files, one folder per day and one for rows without a readable time."""
+def write_day_buckets(df: DataFrame, ts_col: str, path: str, batch_id: int = 0) -> None:
+    """Rolling JSON files, one folder per day and one for rows without a readable time.
+
+    Each batch owns a folder below its days, which a retry of the batch replaces.
+    """
     day = F.regexp_replace(day_bucket(ts_col), "^day=", "")
-    df.withColumn("day", day).write.mode("append").partitionBy("day").json(path)
+    named = df.withColumns({"day": day, "batch_id": F.lit(batch_id)})
+    named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch_id").json(path)
 
 
 def load_report(batch: DataFrame, batch_id: int, path: str) -> None:
@@ -94,12 +99,12 @@ def load_report(batch: DataFrame, batch_id: int, path: str) -> None:
     batch.write.mode("overwrite").json(f"{path}/batch_id={batch_id}")
 
 
-def fan_out(batch: DataFrame, outputs: dict[str, tuple[DataFrame, str]]) -> None:
-    """Several writes of one micro-batch; the batch is computed once."""
+def fan_out(batch: DataFrame, outputs: dict[str, tuple[DataFrame, str]], batch_id: int) -> None:
+    """Several writes of one micro-batch, computed once; a retry replaces what it wrote."""
     batch.persist()
     try:
         for frame, path in outputs.values():
-            frame.write.mode("append").json(path)
+            load_report(frame, batch_id, path)
     finally:
         batch.unpersist()
 
