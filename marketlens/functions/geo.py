@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 EARTH_RADIUS_M = 6_371_008.8
 # Half axes in metres and flattening of the reference ellipsoid.
@@ -51,7 +52,7 @@ def ellipsoid_metres(lon1, lat1, lon2, lat2) -> np.ndarray:
     return metres
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def ellipsoid(lon1: pd.Series, lat1: pd.Series, lon2: pd.Series, lat2: pd.Series) -> pd.Series:
     """Ellipsoid distance in metres kept to eight significant digits, one Arrow batch at a time."""
     metres = ellipsoid_metres(lon1, lat1, lon2, lat2)

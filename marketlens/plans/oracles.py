@@ -288,6 +288,11 @@ QUERIES = {
       row_number() over (partition by product_id order by sum(qty) desc, sku_color) as rank from order_detail group by product_id, sku_color""",
     "attribute_sales_size": """select product_id, sku_size as attribute, cast(sum(qty) as bigint) as sold, cast(sum(amount) as double) as amount,
       row_number() over (partition by product_id order by sum(qty) desc, sku_size) as rank from order_detail group by product_id, sku_size""",
+    # listed words
+    "word_counts": """
+      select word, count(*) as texts from (select distinct doc_id, word from documents join (
+        select word from (select unnest(list_distinct(regexp_split_to_array(lower(text), '[^a-z]+'))) as word, toxic from documents join labels using (doc_id))
+        where length(word) >= 6 group by word having min(toxic) = 1) on contains(lower(text), word)) group by word""",
     # vehicles
     "trip_distance": """select vehicleno, day, round(coalesce(sum(m), 0), 0) as distance_m, count(*) filter (where m > 80000) as jumps, count(*) filter (where m < 1000) as idle_fixes from (
         select vehicleno, day, case when plon is not null then 2 * 6371008.8 * asin(sqrt(pow(sin(radians(lat - plat) / 2), 2) + cos(radians(plat)) * cos(radians(lat)) * pow(sin(radians(lon - plon) / 2), 2))) end as m
