@@ -10,8 +10,8 @@ about 1 in 10,000 at s = 0.8 and far less above.
 A key can only be shared if both its values are, so keys are formed from values that occur
 twice or more. In a bucket, members are compared with one hub, the same for as many
 buckets as possible; linked members form components, and only buckets that still hold several
-components go on, to another hub and then to all pairs across components that have not been
-compared. Every comparison counts full sets, so the links found are exact.
+components go on: to another hub, and then to all pairs across components whose rarest shingles
+leave the similarity possible. Every comparison counts full sets, so the links found are exact.
 """
 
 from __future__ import annotations
@@ -33,6 +33,7 @@ WORDS = 5  # words of a shingle
 MIN_PERCENT = 80
 SIDE, ROWS = 14, 3
 HUB_ROUNDS = 2
+CELLS = 1 << 20
 _WORD = ~SPACES
 _SEEDS = np.random.default_rng(99).integers(1, 1 << 63, (2, 2 * SIDE * ROWS), dtype=np.uint64) | np.uint64(1)
 _KEEP = np.uint64(0xFFFFFFFFFFFF)  # sets are compared by 48 bits of a shingle's hash
@@ -121,11 +122,60 @@ def _to_hubs(members: DataFrame, salt: int, percent: int) -> DataFrame:
     return pairs.select(F.least("node", "hub.x").alias("x"), F.greatest("node", "hub.x").alias("y")).distinct()
 
 
-def _across(members: DataFrame, percent: int) -> DataFrame:
-    """(x, y): all pairs of members of a bucket that are in different components."""
-    left, right = (members.select("bucket", F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("label").alias(f"l{x}")) for x in "xy")
-    fits = (F.col("x") < F.col("y")) & (F.col("lx") != F.col("ly")) & _sizes_allow(F.col("nx"), F.col("ny"), percent)
-    return left.join(right, "bucket").where(fits).select("x", "y").distinct()
+def _rare_first(rows: DataFrame, percent: int) -> DataFrame:
+    """(token, node, n, label, place): the rarest shingles of each set, as many as a similar set
+    must share at least one of.
+
+    Rarity is counted in ``CELLS`` cells, a table of fixed size; any order that all sets share
+    is right, a good one only makes fewer pairs.
+    """
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells = np.zeros(CELLS, np.int64)
+        for batch in batches:
+            for items in batch.column("items"):
+                cells += np.bincount((unpacked(items.as_buffer()) % np.uint64(CELLS)).astype(np.int64), minlength=CELLS)
+        own = np.flatnonzero(cells)
+        yield pa.RecordBatch.from_pydict({"cell": own, "c": cells[own]})
+
+    sums = rows.select("items").mapInArrow(counted, "cell long, c long").groupBy("cell").agg(F.sum("c").alias("c")).toArrow()
+    counts = np.zeros(CELLS, np.int64)
+    counts[sums.column("cell").to_numpy()] = sums.column("c").to_numpy()
+    shared = rows.sparkSession.sparkContext.broadcast(counts)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found, places = [], []
+            for items in batch.column("items"):
+                own = unpacked(items.as_buffer())
+                order = np.lexsort((own, shared.value[(own % np.uint64(CELLS)).astype(np.int64)]))
+                found.append(own[order[: len(own) - -(-percent * len(own) // 100) + 1]])
+                places.append(np.arange(len(found[-1])))
+            sizes = [len(x) for x in found]
+            of = pa.array(np.repeat(np.arange(batch.num_rows), sizes))
+            if sizes:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(found).view(np.int64)), *(batch.column(c).take(of) for c in ("node", "n", "label")), pa.array(np.concatenate(places))],
+                    names=["token", "node", "n", "label", "place"])
+
+    return rows.mapInArrow(run, "token long, node long, n long, label long, place long")
+
+
+def _across(members: DataFrame, sets: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
+    """(x, y): pairs of members in different components that may still be similar.
+
+    In a group of many near copies of one text, most pairs share keys but not enough shingles.
+    Similar sets share one of their rarest shingles, early enough in both that the rest can
+    still make up the overlap; in such a group the rarest shingles are each copy's own, so only
+    pairs with a change in common are made.
+    """
+    rows = scratch.save(members.select("node", "n", "label").distinct().join(sets, "node"), "residual")
+    rare = scratch.save(_rare_first(rows, percent), "rare")
+    mixed_up = rare.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("token")
+    rare = rare.join(mixed_up, "token")
+    left, right = (rare.select("token", *(F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "label", "place"))) for side in "xy")
+    most = F.least(F.col("n_x") - F.col("place_x"), F.col("n_y") - F.col("place_y"))
+    fits = (F.col("node_x") < F.col("node_y")) & (F.col("label_x") != F.col("label_y")) & (most * (100 + percent) >= percent * (F.col("n_x") + F.col("n_y")))
+    return left.join(right, "token").where(fits).select(F.col("node_x").alias("x"), F.col("node_y").alias("y")).distinct()
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -225,11 +275,11 @@ def _components(docs: DataFrame, nodes: DataFrame, scratch: Scratch, width: int,
         members = buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         mixed_up = members.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
         members = members.join(mixed_up.select("bucket"), "bucket", "left_semi")
-        pairs = _to_hubs(members, step, percent) if step < HUB_ROUNDS else _across(members, percent)
+        pairs = _to_hubs(members, step, percent) if step < HUB_ROUNDS else _across(members, sets, scratch, percent)
         if tested:
             pairs = pairs.join(reduce(DataFrame.unionByName, tested), ["x", "y"], "left_anti")
         tested.append(scratch.save(pairs, f"pairs{step}"))
         links.append(scratch.save(_similar(tested[-1], sets, percent), f"links{step}"))
         labels = connected(reduce(DataFrame.unionByName, links), scratch, f"star{step}-")
-    scratch.drop("buckets", "sets", *(f"pairs{k}" for k in range(HUB_ROUNDS + 1)))
+    scratch.drop("buckets", "sets", "residual", "rare", *(f"pairs{k}" for k in range(HUB_ROUNDS + 1)))
     return labels
