@@ -13,7 +13,8 @@ from marketlens.functions.calendar import day_text, second_text
 from marketlens.functions.columns import money, price_band, safe_ratio
 from marketlens.operators.joins import full_join_metrics, join_agg, order_lines
 
-ONE = F.lit(1)
+def one() -> Column:
+    return F.lit(1)
 
 
 # ---- detail layer --------------------------------------------------------------------
@@ -49,7 +50,7 @@ def _page_sets(logs: DataFrame) -> DataFrame:
     """Views, visitors, stay and bounces per day, shop and product, from one row per user."""
     stay = F.unix_seconds(F.max("event_time").cast("timestamp")) - F.unix_seconds(F.min("event_time").cast("timestamp"))
     per_user = logs.groupBy(day_text("event_time").alias("ds"), F.col("shop_no").alias("store_no"), "product_id", "user_id").agg(
-        F.count(ONE).alias("visits"), stay.alias("stay"))
+        F.count(one()).alias("visits"), stay.alias("stay"))
     return per_user.groupBy("ds", "store_no", "product_id").agg(
         F.count("user_id").alias("uv"), F.sum("visits").alias("pv_cnt"),
         safe_ratio(F.sum("stay"), F.count("user_id"), 4).alias("avg_stay_seconds"),
@@ -58,18 +59,18 @@ def _page_sets(logs: DataFrame) -> DataFrame:
 
 def _favour_sets(favourites: DataFrame, keys: list[str]) -> DataFrame:
     return favourites.select("*", day_text("favor_time").alias("day"), F.col("shop_no").alias("store_no")).drop("ds").withColumnRenamed(
-        "day", "ds").groupBy(*keys).agg(F.count(ONE).alias("favor_rows"), F.count_distinct("user_id").alias("favor_user_cnt"))
+        "day", "ds").groupBy(*keys).agg(F.count(one()).alias("favor_rows"), F.count_distinct("user_id").alias("favor_user_cnt"))
 
 
 def _cart_sets(cart: DataFrame) -> DataFrame:
     return cart.groupBy(day_text("add_time").alias("ds"), F.col("shop_no").alias("store_no"), "product_id").agg(
-        F.count(ONE).alias("cart_rows"), F.count_distinct("user_id").alias("cart_user_cnt"), F.sum("qty").alias("cart_quantity"))
+        F.count(one()).alias("cart_rows"), F.count_distinct("user_id").alias("cart_user_cnt"), F.sum("qty").alias("cart_quantity"))
 
 
 def _pay_sets(orders: DataFrame, details: DataFrame) -> DataFrame:
     lines = order_lines(orders.where("status = 'PAID'"), details)
     return lines.groupBy(day_text("order_time").alias("ds"), F.col("shop_no").alias("store_no"), "product_id").agg(
-        F.count(ONE).alias("pay_rows"), F.count_distinct("user_id").alias("pay_user_cnt"),
+        F.count(one()).alias("pay_rows"), F.count_distinct("user_id").alias("pay_user_cnt"),
         F.sum("qty").alias("pay_quantity"), F.sum(F.col("unit_price") * F.col("qty")).alias("pay_amount"))
 
 
@@ -93,7 +94,7 @@ def product_wide(logs: DataFrame, favourites: DataFrame, cart: DataFrame, orders
         return full_join_metrics(sets, WIDE_KEYS).withColumn("pay_amount", money("pay_amount")).select(*WIDE_KEYS, *WIDE_COLUMNS)
     favours = _favour_sets(favourites, ["ds", "product_id"])
     joined = pages.join(carts, WIDE_KEYS, "left").join(pays, WIDE_KEYS, "left").join(favours, ["ds", "product_id"], "left")
-    rows = {n: F.coalesce(F.col(n), ONE) for n in ("favor_rows", "cart_rows", "pay_rows")}
+    rows = {n: F.coalesce(F.col(n), one()) for n in ("favor_rows", "cart_rows", "pay_rows")}
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     return joined.select(
         *WIDE_KEYS, "uv", (F.col("pv_cnt") * rows["favor_rows"] * rows["cart_rows"] * rows["pay_rows"]).alias("pv_cnt"),
@@ -144,7 +145,7 @@ def _behaviour_per_user(behaviour: DataFrame, keys: list[str]) -> DataFrame:
     """One row per group and user with counts per kind of behaviour."""
     kind = F.col("behavior_type")
     return behaviour.withColumn("stat_date", day_text("behavior_time")).groupBy(*keys, "user_id").agg(
-        F.count(ONE).alias("rows_n"), F.count_if(kind == "favor").alias("favor_n"), F.count_if(kind == "cart").alias("cart_n"),
+        F.count(one()).alias("rows_n"), F.count_if(kind == "favor").alias("favor_n"), F.count_if(kind == "cart").alias("cart_n"),
         F.count_if(kind == "order").alias("order_n"), F.sum(F.when(kind == "cart", F.col("cart_num"))).alias("cart_num"),
         F.sum(F.when(kind == "order", F.col("sku_num"))).alias("order_num"),
         F.sum(F.when(kind == "order", F.col("total_amount"))).alias("order_amount"),
@@ -182,7 +183,7 @@ def sku_daily(behaviour: DataFrame, trade: DataFrame, sku: DataFrame, categories
 def _roll_up(daily: DataFrame, keys: list[str]) -> DataFrame:
     # Products are unique per day in the daily table, so distinct products are plain counts.
     return daily.groupBy(*keys).agg(
-        F.sum("visitor_count").alias("visitor_count"), F.count(ONE).alias("sku_with_visitor_count"),
+        F.sum("visitor_count").alias("visitor_count"), F.count(one()).alias("sku_with_visitor_count"),
         F.sum("payment_user_count").alias("payment_user_count"), F.sum("payment_sku_count").alias("payment_sku_count"),
         F.sum(F.col("payment_amount").cast("decimal(16,2)")).alias("payment_amount"),
         F.count_if(F.col("payment_user_count") > 0).alias("sku_with_payment_count"),
@@ -227,7 +228,7 @@ def sku_traffic(sku: DataFrame, behaviour: DataFrame) -> DataFrame:
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     return sku.join(seen, "sku_id", "left").select(
         "sku_id", "sku_name", F.col("shop_no").alias("shop_id"), "tm_name", "category3_id",
-        everyone.scalar().alias("total_uv"), zero("sku_uv").alias("sku_uv"), F.coalesce("pv", ONE).cast("long").alias("sku_pv"),
+        everyone.scalar().alias("total_uv"), zero("sku_uv").alias("sku_uv"), F.coalesce("pv", one()).cast("long").alias("sku_pv"),
         zero("sku_micro_uv").alias("sku_micro_uv"),
         safe_ratio(F.col("pv") * 30, "sku_uv", 2, 0).alias("avg_stay_time"),
         safe_ratio("single_users", "sku_uv", 4, 0).alias("sku_jump_rate"), zero("clicks").alias("sku_click_cnt"))
@@ -275,7 +276,7 @@ def sku_comments(sku: DataFrame, comments: DataFrame) -> DataFrame:
     """Comment counts, score (good 5, middle 3, bad 1) and good rate per product."""
     unique = comments.groupBy("sku_id", "id").agg(F.max("appraise").alias("appraise"))
     counts = unique.groupBy("sku_id").agg(
-        F.count(ONE).alias("n"), *[F.count_if(F.col("appraise") == code).alias(name) for code, name in (("1", "good"), ("2", "mid"), ("3", "bad"))])
+        F.count(one()).alias("n"), *[F.count_if(F.col("appraise") == code).alias(name) for code, name in (("1", "good"), ("2", "mid"), ("3", "bad"))])
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     return sku.join(counts, "sku_id", "left").select(
         "sku_id", "sku_name", F.col("shop_no").alias("shop_id"), "tm_name", zero("n").alias("total_comment_num"),
@@ -292,7 +293,7 @@ def shop_bucket(df: DataFrame, key: str, n: int = 10, prefix: str = "SHOP_") ->
 
 def count_audit(frames: dict[str, DataFrame]) -> DataFrame:
     """Row counts of several tables, one row each."""
-    counts = [f.agg(F.count(ONE).alias("row_count")).select(F.lit(name).alias("tbl"), "row_count") for name, f in frames.items()]
+    counts = [f.agg(F.count(one()).alias("row_count")).select(F.lit(name).alias("tbl"), "row_count") for name, f in frames.items()]
     out = counts[0]
     for c in counts[1:]:
         out = out.unionAll(c)
@@ -300,4 +301,4 @@ def count_audit(frames: dict[str, DataFrame]) -> DataFrame:
 
 
 def partition_audit(df: DataFrame, partition: str) -> DataFrame:
-    return df.groupBy(F.col(partition).cast("string").alias("ds")).agg(F.count(ONE).alias("row_count"))
+    return df.groupBy(F.col(partition).cast("string").alias("ds")).agg(F.count(one()).alias("row_count"))
