@@ -288,6 +288,89 @@ QUERIES = {
       row_number() over (partition by product_id order by sum(qty) desc, sku_color) as rank from order_detail group by product_id, sku_color""",
     "attribute_sales_size": """select product_id, sku_size as attribute, cast(sum(qty) as bigint) as sold, cast(sum(amount) as double) as amount,
       row_number() over (partition by product_id order by sum(qty) desc, sku_size) as rank from order_detail group by product_id, sku_size""",
+    # wide and rolling reports
+    "product_wide": """
+      select ds, store_no, product_id, coalesce(max(uv), 0) as uv, coalesce(max(pv_cnt), 0) as pv_cnt, coalesce(max(favor_user_cnt), 0) as favor_user_cnt, coalesce(max(cart_user_cnt), 0) as cart_user_cnt,
+        coalesce(max(cart_quantity), 0) as cart_quantity, coalesce(max(pay_user_cnt), 0) as pay_user_cnt, coalesce(max(pay_quantity), 0) as pay_quantity, cast(coalesce(max(pay_amount), 0) as double) as pay_amount
+      from (
+        select strftime(event_time, '%Y-%m-%d') as ds, shop_no as store_no, product_id, count(distinct user_id) as uv, count(*) as pv_cnt, null as favor_user_cnt, null as cart_user_cnt,
+          null as cart_quantity, null as pay_user_cnt, null as pay_quantity, null as pay_amount from ods_logs group by all
+        union all select strftime(favor_time, '%Y-%m-%d'), shop_no, product_id, null, null, count(distinct user_id), null, null, null, null, null from dim_favorite group by all
+        union all select strftime(add_time, '%Y-%m-%d'), shop_no, product_id, null, null, null, count(distinct user_id), cast(sum(qty) as bigint), null, null, null from dim_cart group by all
+        union all select strftime(order_time, '%Y-%m-%d'), shop_no, product_id, null, null, null, null, null, count(distinct user_id), cast(sum(qty) as bigint), sum(unit_price * qty)
+          from lines where status = 'PAID' group by all) group by all""",
+    "rolling_product": "select v.product_id, strftime(v.d, '%Y-%m-%d') as stat_date, " + ", ".join(
+        f"""(select count(*) from ods_logs o where o.product_id = v.product_id and o.ds between v.d - {n - 1} and v.d) as pv_{n}d,
+        (select count(distinct user_id) from ods_logs o where o.product_id = v.product_id and o.ds between v.d - {n - 1} and v.d) as uv_{n}d,
+        cast(coalesce((select sum(amount) from lines l where l.status = 'PAID' and l.product_id = v.product_id and cast(l.order_time as date) between v.d - {n - 1} and v.d), 0) as double) as pay_{n}d"""
+        for n in (1, 7, 15, 30)) + " from (select distinct product_id, ds as d from ods_logs) v",
+    "price_trend": """select product_id, stat_date, avg_price, round(coalesce(avg_price - lag(avg_price) over (partition by product_id order by stat_date), 0), 4) as price_change,
+        (select count(*) from ods_logs o where o.product_id = p.product_id and strftime(o.event_time, '%Y-%m-%d') = p.stat_date) as visits
+      from (select product_id, strftime(order_time, '%Y-%m-%d') as stat_date, round(cast(sum(amount) as double) / sum(qty), 4) as avg_price from lines where status = 'PAID' group by all) p""",
+    "title_words": """select word, count(*) filter (where action = 'visit') as visits, count(distinct case when action = 'visit' then user_id end) as visitors,
+        count(distinct case when action = 'purchase' then user_id end) as buyers,
+        round(cast(count(distinct case when action = 'purchase' then user_id end) as double) / nullif(count(distinct case when action = 'visit' then user_id end), 0) * 100, 4) as conversion_rate
+      from ecom join (select sku_id as product_id, unnest(list_distinct(regexp_split_to_array(lower(sku_name), '\\s+'))) as word from sku_info) using (product_id)
+      where action in ('visit', 'purchase') group by word""",
+    "sku_traffic": f"""select s.sku_id, sku_name, shop_no as shop_id, tm_name, category3_id, (select count(distinct user_id) from behaviour) as total_uv, coalesce(sku_uv, 0) as sku_uv,
+        coalesce(pv, 1) as sku_pv, coalesce(micro, 0) as sku_micro_uv, {ratio('pv * 30', 'sku_uv', 2, '0')} as avg_stay_time, {ratio('once', 'sku_uv', 4, '0')} as sku_jump_rate,
+        cast(coalesce(clicks, 0) as bigint) as sku_click_cnt
+      from sku_info s left join (select sku_id, count(*) as sku_uv, cast(sum(n) as bigint) as pv, count(*) filter (where acts > 0) as micro, count(*) filter (where n = 1) as once, sum(clicks) as clicks
+        from (select sku_id, user_id, count(*) as n, count(*) filter (where kind in ('favor', 'cart')) as acts, sum(cart_num) as clicks from behaviour group by all) group by sku_id) using (sku_id)""",
+    "partial_update": """select user_id as id, strftime(ts, '%Y-%m-%d') as ds, max(epoch_us(ts) // 1000) as ts_ms, arg_max(k, ts) filter (where event_type = 'click') as sku_num,
+        arg_max(event_id, ts) filter (where event_type = 'purchase') as sku_id from ev where event_type <> 'error' group by all""",
+    "dim_upsert": """select md5(cast(o_custkey as varchar)) as row_key, cast(o_custkey as varchar) as id, o_orderstatus as status, cast(o_orderkey as varchar) as seq from (
+        select *, row_number() over (partition by o_custkey order by o_orderkey desc) as rn from orders) where rn = 1""",
+    "drop_seen": """select user_id, hour, event_id, k from (select user_id, epoch_us(ts) // 3600000000 as hour, event_id, k,
+        row_number() over (partition by user_id, epoch_us(ts) // 3600000000 order by event_id) as rn from ev) where rn = 1""",
+    "last_per_interval": """select window_start, log_id, user_id, log_type, ms from (select *, ms // 7200000 * 7200000 as window_start,
+        row_number() over (partition by user_id, ms // 7200000 order by ms desc, log_id desc) as rn from page_log) where rn = 1""",
+    "cumulate_seconds": cumulating(10_000, "cast(sum(amount) as double) as total_cumulative_amount"),
+    "cumulative_report": f"""
+      with sold as ({cumulating(600_000, "sum(amount) as amount", "product_id")}),
+      best as (select *, row_number() over (partition by window_start, window_end order by amount desc, product_id) as rn from sold)
+      select left(window_start, 10) as ds, window_start, window_end, cast(sum(amount) as double) as win_gmv, cast(sum(amount) filter (where rn <= 5) as double) as top5_gmv,
+        string_agg(cast(product_id as varchar), ',' order by rn) filter (where rn <= 5) as top5_product_ids from best group by all""",
+    "cumulative_top_sold": f"""
+      with sold as ({cumulating(600_000, "cast(sum(num) as bigint) as amount", "product_id")}),
+      best as (select *, row_number() over (partition by window_start, window_end order by amount desc, product_id) as rn from sold)
+      select window_start, window_end, string_agg(product_id || '(' || amount || ')', ', ' order by rn) as top5_product_ids from best where rn <= 5 group by all""",
+    **{name: f"""
+      with days as (select user_id, stat_date, count(*) as event_count, (max(ms) - min(ms)) // 1000 as total_duration, max(case when log_type = 'payment' then 1 else 0 end) as paid,
+          string_agg(log_type, ' → ' order by ms, log_id) as path_sequence from page_log group by all),
+      past as (select *, count(*) over w as past_days, coalesce(sum(paid) over w, 0) as past_paid from days
+        window w as (partition by user_id order by stat_date rows between unbounded preceding and {upto}))
+      select user_id, stat_date as analysis_date, 0 as part, path_sequence, case when paid = 1 then '已转化' else '未转化' end as conversion_status, event_count, total_duration,
+        {kind} as user_type from past"""
+       for name, upto, kind in (
+           ("user_paths", "1 preceding", "case when past_paid > 0 and paid = 1 then '高价值用户' when past_paid = 0 and paid = 0 then '普通用户' else '观望用户' end"),
+           ("user_paths_literal", "current row", "case when past_paid > 0 and paid = 1 then '高价值用户' when past_paid = 0 and paid = 0 then '普通用户' else '观望用户' end"),
+           ("user_paths_v1106", "1 preceding", "case when past_paid > 0 and paid = 1 then '高价值用户' when past_days >= 3 and past_paid = 0 then '观望用户' "
+                                               "when paid = 1 and past_days = 0 then '新用户首单' else '普通用户' end"))},
+    # rows reshaped, and small reports
+    "scan_days": "select shop_no, count(*) as n from ods_logs where event_time >= date '2024-01-08' and event_time < date '2024-01-16' group by all",
+    "median_and_mean": "select product_id, round(median(cast(price as double)), 4) as median, round(avg(cast(price as double)), 4) as mean from ecom group by all",
+    "rank_pivot": f"""select {tumbling('w', 3_600_000)}, array_to_string(list_resize(list(cast(id as varchar) order by rn) filter (where rn <= 5), 5, ''), ',') as top5_ids
+      from (select ms // 3600000 * 3600000 as w, id, row_number() over (partition by ms // 3600000 order by num desc, id) as rn from oms_sale) group by w""",
+    "salt_keys": """select bucket, cast(sum(n) as bigint) as rows, count(*) as keys from (
+        select lpad(cast(cast('0x' || substr(md5(cast(user_id as varchar)), 30, 3) as int) % 128 as varchar), 4, '0') as bucket, count(*) as n from ev group by user_id) group by bucket""",
+    "calendar_features": """select uid, 2024 - year(birthday) - case when month(birthday) * 100 + day(birthday) > 630 then 1 else 0 end as age, year(birthday) // 10 * 10 as decade,
+        case when d <= 119 then '摩羯座' when d <= 218 then '水瓶座' when d <= 320 then '双鱼座' when d <= 419 then '白羊座' when d <= 520 then '金牛座' when d <= 621 then '双子座'
+          when d <= 722 then '巨蟹座' when d <= 822 then '狮子座' when d <= 922 then '处女座' when d <= 1023 then '天秤座' when d <= 1122 then '天蝎座' when d <= 1221 then '射手座'
+          else '摩羯座' end as zodiac_sign, strftime(birthday, '%Y-%m-%d') as birthday from (select *, month(birthday) * 100 + day(birthday) as d from user_info)""",
+    "reshape_details": """select event_id * 10 + n as id, event_id as order_id, (k + 7 * n) % 100 as sku_id, event_id % 4 + 1 as sku_num, cast(n * 5 as double) as split_coupon_amount,
+        epoch_us(ts) // 1000 + n * 100000 as ts_ms from (select *, unnest(range(0, event_id % 3 + 1)) as n from ev where event_type = 'purchase')""",
+    "parse_changes": """select db, "table", op, snapshot, count(*) as n, count(*) filter (where c < 4) as befores, count(*) filter (where c > 0) as afters, max(ts_ms) as last_ts_ms from (
+        select 'shop' as db, "table", c, ['d','u','u','u','r','c','c','c','c','c'][c + 1] as op, case when c = 4 then 'true' else 'false' end as snapshot, ts_ms from (
+          select 'order_info' as "table", o_orderkey % 10 as c, epoch_ms(cast(o_orderdate as timestamp)) + o_orderkey % 86400000 as ts_ms from orders
+          union all select 'user_info', c_custkey % 10, 1704067200000 + c_custkey * 1000 from customer
+          union all select 'base_category3', n_nationkey % 10, 1704067200000 + n_nationkey * 1000 from nation)) group by all""",
+    "product_wide_joined": """select strftime(l.event_time, '%Y-%m-%d') as ds, l.shop_no as store_no, l.product_id, count(distinct l.user_id) as uv, count(*) as pv_cnt,
+        count(distinct f.user_id) as favor_user_cnt, count(distinct c.user_id) as cart_user_cnt, cast(coalesce(sum(c.qty), 0) as bigint) as cart_quantity,
+        count(distinct p.user_id) as pay_user_cnt, cast(coalesce(sum(p.qty), 0) as bigint) as pay_quantity, cast(coalesce(sum(p.unit_price * p.qty), 0) as double) as pay_amount
+      from ods_logs l left join dim_favorite f on f.product_id = l.product_id and f.ds = l.ds
+      left join dim_cart c on c.product_id = l.product_id and c.shop_no = l.shop_no and cast(c.add_time as date) = l.ds
+      left join (select * from lines where status = 'PAID') p on p.product_id = l.product_id and p.shop_no = l.shop_no and cast(p.order_time as date) = l.ds group by all""",
     # listed words
     "word_counts": """
       select word, count(*) as texts from (select distinct doc_id, word from documents join (
@@ -299,4 +382,5 @@ QUERIES = {
         from (select *, lag(lon) over w as plon, lag(lat) over w as plat from vehicle window w as (partition by vehicleno order by ms, id))) group by all""",
 }
 
-ORACLES = {name: f"with {VIEWS} {sql}" for name, sql in QUERIES.items()}
+# A query with common tables of its own takes the views into its list.
+ORACLES = {name: f"with {VIEWS}, {sql.strip().removeprefix('with ')}" if sql.strip().startswith("with ") else f"with {VIEWS} {sql}" for name, sql in QUERIES.items()}
