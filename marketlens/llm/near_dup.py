@@ -32,7 +32,7 @@ from marketlens.llm.text import SPACES, Texts, mixed, rows_of, slices, windows
 WORDS = 5  # words of a shingle
 MIN_PERCENT = 80
 SIDE, ROWS = 14, 3
-HUB_ROUNDS = 2
+HUB_ROUNDS = 1
 CELLS = 1 << 20
 _WORD = ~SPACES
 _SEEDS = np.random.default_rng(99).integers(1, 1 << 63, (2, 2 * SIDE * ROWS), dtype=np.uint64) | np.uint64(1)
@@ -264,13 +264,23 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", width:
     return docs.join(kept, F.col(key).eqNullSafe(F.col("__id")) & (F.xxhash64(F.col(text)) == F.col("__body")), "left_semi")
 
 
+def _joined_up(labels: DataFrame, links: DataFrame, scratch: Scratch, step: int) -> DataFrame:
+    """Labels after new links, which are links between the components that were."""
+    for side in "xy":
+        of = labels.select(F.col("node").alias(side), F.col("label").alias("of"))
+        links = links.join(of, side, "left").withColumn(side, F.coalesce("of", side)).drop("of")
+    joined = connected(links, scratch, f"star{step}-").select(F.col("node").alias("label"), F.col("label").alias("low"))
+    old = labels.join(joined, "label", "left").select("node", F.coalesce("low", "label").alias("label"))
+    new = joined.join(labels.select(F.col("node").alias("label")), "label", "left_anti").select(F.col("label").alias("node"), F.col("low").alias("label"))
+    return scratch.save(old.unionByName(new), f"labels{step}")
+
+
 def _components(docs: DataFrame, nodes: DataFrame, scratch: Scratch, width: int, percent: int) -> DataFrame:
     """(node, label) of the linked nodes."""
     buckets = _buckets(nodes.select("node", F.col("rep.n_shingles").alias("n"), F.col("rep.signature").alias("signature")), scratch)
     sets = scratch.save(_sets(docs, nodes, buckets.select("node").distinct(), width), "sets")
     labels = nodes.select("node", F.col("node").alias("label")).limit(0)
     tested: list[DataFrame] = []
-    links: list[DataFrame] = []
     for step in range(HUB_ROUNDS + 1):
         members = buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         mixed_up = members.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
@@ -279,7 +289,7 @@ def _components(docs: DataFrame, nodes: DataFrame, scratch: Scratch, width: int,
         if tested:
             pairs = pairs.join(reduce(DataFrame.unionByName, tested), ["x", "y"], "left_anti")
         tested.append(scratch.save(pairs, f"pairs{step}"))
-        links.append(scratch.save(_similar(tested[-1], sets, percent), f"links{step}"))
-        labels = connected(reduce(DataFrame.unionByName, links), scratch, f"star{step}-")
+        links = scratch.save(_similar(tested[-1], sets, percent), f"links{step}")
+        labels = _joined_up(labels, links, scratch, step) if step else connected(links, scratch, "star0-")
     scratch.drop("buckets", "sets", "residual", "rare", *(f"pairs{k}" for k in range(HUB_ROUNDS + 1)))
     return labels
