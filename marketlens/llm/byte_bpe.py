@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from marketlens.llm.text import slices, text_and_key
 
-CACHED_PIECES = 500_000  # pre-tokens kept by a worker between slices
+CACHED_PIECES = 200_000  # pre-tokens kept by a worker between slices
 CHUNK_PIECES = 100_000  # pre-tokens of one text that are handled at once
 
 # Piece kinds of the sentencepiece model format (fixed values).

@@ -27,7 +27,7 @@ from marketlens.llm.text import Texts, per_text, slices, text_and_key, windows
 BITS = 18
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 0.002, 0.01
 EPOCHS = 6
-ROWS_PER_SHARD = 2_000
+ROWS_PER_SHARD = 1_000
 MAX_ROWS = 16_000  # labelled rows that training reads at most
 
 _SPACE, _LETTER, _DIGIT, _SIGN = range(4)
@@ -103,7 +103,7 @@ def fit(sample: DataFrame) -> np.ndarray:
             cells, firsts, words = features(batch.column("text"))
             for k in range(batch.num_rows):
                 own, counts = np.unique(cells[firsts[k] : firsts[k + 1]], return_counts=True)
-                rows.append((np.append(own, 1 << BITS), np.append(counts / max(1, words[k]), 1.0)))
+                rows.append((np.append(own, 1 << BITS).astype(np.int32), np.append(counts / max(1, words[k]), 1.0).astype(np.float32)))
             labels += batch.column("label").to_pylist()
         if rows:
             yield pa.RecordBatch.from_pydict({"n": pa.array([len(rows)], pa.int64()), "weights": pa.array([ftrl(rows, np.array(labels)).tobytes()], pa.binary())})

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1_000_000
 
 # ASCII space and \t \n \v \f \r separate words; every other byte is part of a word.
 SPACES = np.zeros(256, bool)
@@ -107,7 +107,7 @@ class Texts:
 
     def hashes(self, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
         """64-bit hash of each span's bytes; ``which`` selects one of two independent hashes."""
-        up, down = _powers(1 << max(21, int(len(self.data)).bit_length()), which)
+        up, down = _powers(1 << max(20, int(len(self.data)).bit_length()), which)
         with np.errstate(over="ignore"):
             if which not in self._sums:
                 sums = np.zeros(len(self.data) + 1, np.uint64)
