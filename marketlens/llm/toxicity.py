@@ -42,15 +42,16 @@ def bags(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
     """Words and subwords of all texts.
 
     Returns the cells of the distinct words, the first cell of each distinct word, the distinct
-    word at each place, and the first place of each text. The whole word is a subword of its own.
+    word at each place, and the first place of each text. The whole word is no subword of its own,
+    so what is learned about it is learned by its parts.
     """
     texts = Texts(column, lower=True)
     starts, ends, firsts = texts.spans(_IN_WORD)
-    hashes, place, word = np.unique(texts.hashes(starts, ends), return_index=True, return_inverse=True)
+    _, place, word = np.unique(texts.hashes(starts, ends), return_index=True, return_inverse=True)
     starts, ends = starts[place], ends[place]
     # N-grams over the word with one border byte (0) before and after it: byte b is at b + 1.
     padded = np.concatenate(([0], np.where(_IN_WORD[texts.data], texts.data, 0))).astype(np.uint64)
-    cells, owners = [hashes], [np.arange(len(starts))]
+    cells, owners = [], []
     for n in GRAMS:
         counts = np.maximum(0, ends - starts + 3 - n)
         sums = np.append(0, np.cumsum(counts))
@@ -160,13 +161,19 @@ def train(column: pa.Array, labels: np.ndarray, weights: np.ndarray) -> tuple[np
         table, bias = model.folded()
         return sums(means(table[cells], cell_firsts)[words], bag_firsts) / WINDOW + bias
 
-    for epoch in range(EPOCHS + LAST_EPOCHS):
-        picked = np.arange(len(bag_labels)) if epoch < EPOCHS else highest(scores(), text_bags)
-        picked = rng.permutation(picked[picked >= 0])
-        for part in np.array_split(picked, max(8, len(picked) * WINDOW // BATCH_WORDS)):
-            if len(part):
-                own, own_firsts = _rows(words, bag_firsts, part)
-                model.step(cells, cell_firsts, own, own_firsts, bag_labels[part], balance[bag_labels[part]])
+    def learn(picked: np.ndarray, passes: int, steps: int) -> None:
+        """Go over the bags ``passes`` times, more often if that would be under ``steps`` updates."""
+        batches = max(8, len(picked) * WINDOW // BATCH_WORDS)
+        for _ in range(max(passes, steps // batches)):
+            for part in np.array_split(rng.permutation(picked), batches):
+                if len(part):
+                    own, own_firsts = _rows(words, bag_firsts, part)
+                    model.step(cells, cell_firsts, own, own_firsts, bag_labels[part], balance[bag_labels[part]])
+
+    learn(np.arange(len(bag_labels)), EPOCHS, 200)
+    for _ in range(LAST_EPOCHS):
+        picked = highest(scores(), text_bags)
+        learn(picked[picked >= 0], 1, 40)
     best = highest(found := scores(), text_bags)
     x = np.where(best >= 0, found[best], 0.0) if len(found) else np.zeros(len(labels))
     # Newton steps of a logistic regression on (score, 1), slightly held back.
