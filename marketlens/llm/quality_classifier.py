@@ -7,8 +7,8 @@ is its share of the text's words, so the score of a text is a sparse dot product
 hashed counts, whatever its length.
 
 Training is spread over shards of a bounded sample: each task runs the updates over its own
-shard, and the weights are averaged by shard size. Only weight tables, whose size is fixed,
-reach the driver.
+shard, and the weights are averaged by shard size in Spark. Only the mean, whose size is fixed,
+reaches the driver.
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ EPOCHS = 6
 ROWS_PER_SHARD = 1_000
 MAX_ROWS = 16_000  # labelled rows that training reads at most
 
+_ROWS = (1 << BITS) + 1  # in place of a cell: the number of rows learned from
 _SPACE, _LETTER, _DIGIT, _SIGN = range(4)
 _KIND = np.full(256, _SIGN, np.uint8)
 _KIND[[0, 0x20, *range(9, 14)]] = _SPACE
@@ -106,14 +107,18 @@ def fit(sample: DataFrame) -> np.ndarray:
                 rows.append((np.append(own, 1 << BITS).astype(np.int32), np.append(counts / max(1, words[k]), 1.0).astype(np.float32)))
             labels += batch.column("label").to_pylist()
         if rows:
-            yield pa.RecordBatch.from_pydict({"n": pa.array([len(rows)], pa.int64()), "weights": pa.array([ftrl(rows, np.array(labels)).tobytes()], pa.binary())})
+            found = ftrl(rows, np.array(labels))
+            cells = np.append(np.flatnonzero(found), _ROWS)
+            values = np.append(found, len(rows))[np.append(cells[:-1], len(found))]
+            values[:-1] *= len(rows)
+            yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int64()), pa.array(values.astype(np.float64))], names=["cell", "value"])
 
     spread = sample.repartition(shards, F.xxhash64("key")).sortWithinPartitions(F.xxhash64("key", "text"))
-    found = spread.mapInArrow(train, "n long, weights binary").collect()  # one table of fixed size for each shard
-    total = np.zeros((1 << BITS) + 1, np.float32)
-    for row in sorted(found, key=lambda r: (r.n, r.weights)):
-        total += np.frombuffer(row.weights, np.float32) * np.float32(row.n)
-    return total / max(1, sum(r.n for r in found))
+    # Spark adds up the shards; one row for each cell that is not 0 reaches the driver.
+    sums = spread.mapInArrow(train, "cell long, value double").groupBy("cell").agg(F.sum("value").alias("value")).toArrow()
+    total = np.zeros((1 << BITS) + 2)
+    total[sums.column("cell").to_numpy()] = sums.column("value").to_numpy()
+    return (total[:-1] / max(1.0, total[_ROWS])).astype(np.float32)
 
 
 def score(docs: DataFrame, weights: np.ndarray, key: str = "doc_id", text: str = "text") -> DataFrame:
