@@ -1,9 +1,8 @@
 """LM scoring: a Katz backoff model of word pairs.
 
 Tokens are words and one end for each text; a text's first word follows a start. The vocabulary
-is every training word that is seen at least twice and makes up 1 / ``SHARE`` of the training
-tokens or more, so it has ``SHARE`` words at most and may be sent to all workers; all other
-words are one unknown word, which is counted like any other. Counts of pairs are discounted by
+is every training word that is seen at least twice, however large the corpus; all other words
+are one unknown word, which is counted like any other. Counts of pairs are discounted by
 Good-Turing: with n_r the number of pairs seen r times, small counts are lowered by the ratio
 (r + 1) n_(r+1) / (r n_r), put right for the counts over ``CUTOFF``. The mass that a history
 loses goes to the words never seen after it, in proportion to their share of all tokens:
@@ -13,13 +12,17 @@ loses goes to the words never seen after it, in proportion to their share of all
 
 and backoff(h) makes the probabilities after h sum to one exactly.
 
-The text is read twice: for the words, and for the pairs. On the second reading it is cut into
-chunks of a bounded number of tokens. A chunk asks each partition of the pair table for the
-counts of the pairs it has; partitions add up what the chunks have seen in training texts and
-answer with the totals. So a pair costs a few bytes for each chunk that has it, however often it
-occurs, and no partition meets more than one entry of a pair from a chunk. Words outside the
-vocabulary are asked for in the same way, for the plain word score. Chunks, pair table and
-answers are tables in the shared folder.
+Words are numbered by falling count, so a word's count follows from its number and the list of
+the different counts with the numbers they begin at. N tokens have at most sqrt(2 N) different
+counts; that list is all that driver and workers hold of the vocabulary.
+
+The text is read twice: for the words, and for chunks of a bounded number of tokens. A chunk asks
+each partition of the word table for the numbers of its words, and then each partition of the
+pair table for the counts of its pairs; pair partitions add up what the chunks have seen in
+training texts and answer with the totals. So a pair costs a few bytes for each chunk that has
+it, however often it occurs, and no partition meets more than one entry of a pair from a chunk.
+Last, the chunk asks for the backoff weights of its histories in the same way. Chunks, tables and
+answers are kept in the shared folder.
 """
 
 from __future__ import annotations
@@ -29,14 +32,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketlens.llm.storage import Scratch
 from marketlens.llm.text import SPACES, Texts, mixed, slices
 
-SHARE = 1 << 22  # a vocabulary word is one in so many training tokens, or more frequent
+SHARE: int | None = None  # for a smaller model: a vocabulary word is one in so many training tokens, or more frequent
 CUTOFF = 5  # counts up to here are discounted by Good-Turing
 CHUNK_TOKENS = 2_500_000
 PART_TOKENS = 4_000_000  # tokens for each partition of the pair table
@@ -80,25 +83,42 @@ def word_counts(rows: DataFrame) -> DataFrame:
 
 
 class Vocabulary:
-    """Ids of words: 0 unknown, 1 .. n the vocabulary by hash, then end and start."""
+    """Numbers of words by falling count; 0 is a word that training does not have.
 
-    def __init__(self, words: np.ndarray, counts: np.ndarray, total: int, distinct: int, ends: int):
-        order = np.argsort(words)
-        self.words, self.total, self.distinct, self.ends = words[order], total, distinct, ends
-        self.end, self.start = len(words) + 1, len(words) + 2
-        self.size = len(words) + 3
-        self.seen = np.concatenate(([total - ends - counts.sum()], counts[order], [ends, ends])).astype(np.int64)
+    In pairs, 0 is the unknown word, 1 .. known the vocabulary, then end and start.
+    """
+
+    def __init__(self, counts: np.ndarray, sizes: np.ndarray, ends: int):
+        order = np.argsort(-counts)
+        counts, sizes = counts[order], sizes[order]
+        self.ends, self.total, self.distinct = ends, int((counts * sizes).sum()) + ends, int(sizes.sum()) + (ends > 0)
+        own = (counts >= 2) & (counts * SHARE >= self.total if SHARE else True)
+        self.known = int(sizes[own].sum())
+        self.end, self.start, self.size = self.known + 1, self.known + 2, self.known + 3
+        if self.size >= 1 << 32:
+            raise ValueError("a pair of words has to fit 64 bits")
+        self.counts, self.firsts = np.append(0, counts), np.append(0, 1 + np.cumsum(sizes) - sizes)
+        self.unknown = self.total - ends - int((counts * sizes)[own].sum())
         # The unknown word and the end are never impossible, even if training has none.
-        weights = np.maximum(self.seen[:-1], [1, *np.ones(len(words), np.int64), 1]).astype(np.float64)
-        self.share = np.append(weights / weights.sum(), 0.0)
+        self.mass = max(1, self.unknown) + max(1, ends) + int((counts * sizes)[own].sum())
+
+    def first(self, counts: np.ndarray) -> np.ndarray:
+        """The number that the words of each of these counts begin at."""
+        return self.firsts[len(self.counts) - 1 - np.searchsorted(self.counts[:0:-1], counts)]
 
-    def ids(self, hashes: np.ndarray) -> np.ndarray:
-        found = np.zeros(len(hashes), np.int32)
-        if len(self.words):
-            at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
-            found = np.where(self.words[at] == hashes, at + 1, 0).astype(np.int32)
-        found[hashes == END] = self.end
-        return found
+    def occurrences(self, numbers: np.ndarray) -> np.ndarray:
+        return self.counts[np.searchsorted(self.firsts, numbers, "right") - 1]
+
+    def seen(self, ids: np.ndarray) -> np.ndarray:
+        found = self.occurrences(np.minimum(ids, self.known))
+        return np.where(ids == 0, self.unknown, np.where(ids > self.known, self.ends, found))
+
+    def share(self, ids: np.ndarray) -> np.ndarray:
+        return np.maximum(1, self.seen(ids)) / self.mass
+
+    def ids(self, numbers: np.ndarray, which: np.ndarray) -> np.ndarray:
+        """Ids of a chunk's tokens, given by place among its words (0 is an end)."""
+        return np.append(self.end, np.where(numbers <= self.known, numbers, 0))[which]
 
     def pairs(self, ids: np.ndarray) -> np.ndarray:
         """History and word of each token as one number."""
@@ -107,13 +127,15 @@ class Vocabulary:
         before[before == self.end] = self.start
         return before.astype(np.uint64) * np.uint64(self.size) + ids.astype(np.uint64)
 
+    def split(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return (pairs // np.uint64(self.size)).astype(np.int64), (pairs % np.uint64(self.size)).astype(np.int64)
+
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
-    total, distinct = counts.select(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    ends = counts.where(F.col("word") == int(END.view(np.int64))).first()
-    own = counts.where((F.col("n") >= 2) & (F.col("n") * SHARE >= total) & (F.col("word") != int(END.view(np.int64))))
-    found = own.toArrow()  # at most SHARE rows
-    return Vocabulary(found.column("word").to_numpy().view(np.uint64), found.column("n").to_numpy(), total, distinct, ends.n if ends else 0)
+    end = F.col("word") == int(END.view(np.int64))
+    ends = counts.where(end).first()
+    found = counts.where(~end).groupBy("n").agg(F.count(F.lit(1)).alias("size")).toArrow()  # at most sqrt(2 tokens) rows
+    return Vocabulary(found.column("n").to_numpy(), found.column("size").to_numpy(), ends.n if ends else 0)
 
 
 def discounts(counts: dict[int, int]) -> np.ndarray:
@@ -142,37 +164,63 @@ def _parts(values: np.ndarray, n: int) -> np.ndarray:
     return (mixed(values) % np.uint64(n)).astype(np.int32)
 
 
+def _dealt(values: np.ndarray, n: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """Order of sorted 64-bit values by partition, and (partition, start, end) in that order."""
+    part = _parts(values, n)
+    order = np.argsort(part, kind="stable")
+    names, starts = np.unique(part[order], return_index=True)
+    return order, list(zip(names.tolist(), starts.tolist(), np.append(starts, len(order))[1:].tolist(), strict=True))
+
+
+def _asked(kind: str, values: np.ndarray, dealt: list[tuple[int, int, int]]) -> list[tuple[str, int, bytes]]:
+    return [(kind, p, shrunk(np.diff(values[a:b], prepend=np.uint64(0)))) for p, a, b in dealt]
+
+
+def _answered(blobs: dict[int, bytes], order: np.ndarray, kind: type) -> np.ndarray:
+    """What the partitions answered, in the order of the values before they were dealt."""
+    found = np.zeros(len(order), kind)
+    if len(order):
+        found[order] = np.concatenate([grown(blobs[p], kind) for p in sorted(blobs)])
+    return found
+
+
 _CHUNK_FIELDS = [("kind", "string"), ("chunk", "long"), ("part", "int"), ("payload", "binary")]
+_CHUNK_ROW = ", ".join(f"{c} {t}" for c, t in _CHUNK_FIELDS)
+
 
+def _chunk_table(chunk: int, made: list[tuple[str, int, bytes]]) -> pa.Table:
+    kinds, parts, payloads = zip(*made, strict=True) if made else ((), (), ())
+    return pa.table({"kind": pa.array(kinds, pa.string()), "chunk": pa.array([chunk] * len(made), pa.int64()), "part": pa.array(parts, pa.int32()), "payload": pa.array(payloads, pa.binary())})
 
-def _chunks(rows: DataFrame, vocab, parts: int) -> DataFrame:
-    """Rows of four kinds: the tokens of a chunk (ids, and which unknown word), its texts (one
-    row each, with key), the pairs and the unknown words it asks each partition for."""
+
+def _blobs(group: pa.Table, kind: str) -> dict[int, bytes]:
+    own = group.filter(pa.array([k == kind for k in group.column("kind").to_pylist()], pa.bool_()))
+    return dict(zip(own.column("part").to_pylist(), own.column("payload").to_pylist(), strict=True))
+
+
+def _chunks(rows: DataFrame, parts: int) -> DataFrame:
+    """Rows of four kinds: the tokens of a chunk (by place among its words, which are ordered by
+    partition and hash; 0 is an end), which of its texts are learned from, its texts (one row
+    each, with key), and the words it asks each partition for."""
     schema = T.StructType([
         T.StructField("kind", T.StringType()), T.StructField("chunk", T.LongType()), T.StructField("part", T.IntegerType()),
         T.StructField("payload", T.BinaryType()), T.StructField("key", rows.schema["key"].dataType), T.StructField("tokens", T.LongType())])
 
     def emitted(chunk: int, held: list[tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]]) -> Iterator[pa.RecordBatch]:
-        words = vocab.value
         hashes = np.concatenate([h for h, *_ in held])
         sizes = np.concatenate([np.diff(f) for _, f, *_ in held])
-        train = np.repeat(np.concatenate([t for *_, t, _ in held]), sizes)
-        ids = words.ids(hashes)
-        unknown, which = np.unique(hashes[ids == 0], return_inverse=True)
-        pairs, where = np.unique(words.pairs(ids), return_inverse=True)
-        seen = np.bincount(where, train, len(pairs)).astype(np.uint32)
-        made = [("tokens", 0, shrunk(ids), None, None), ("unknown", 0, shrunk(which.astype(np.int32)), None, None)]
-        part = _parts(pairs, parts)
-        for p in np.unique(part):
-            own = part == p
-            made.append(("pairs", int(p), shrunk(np.diff(pairs[own], prepend=np.uint64(0))), None, None))
-            made.append(("seen", int(p), shrunk(seen[own]), None, None))
-        part = _parts(unknown, parts)
-        made.append(("unknown", 1, shrunk(part), None, None))
-        made += [("words", int(p), shrunk(np.diff(unknown[part == p], prepend=np.uint64(0))), None, None) for p in np.unique(part)]
-        columns = [pa.array(x, t) for x, t in zip(zip(*made, strict=True), (pa.string(), pa.int32(), pa.binary(), pa.null(), pa.null()), strict=True)]
+        train = np.concatenate([t for *_, t, _ in held])
+        inner = hashes != END
+        words, where = np.unique(hashes[inner], return_inverse=True)
+        order, dealt = _dealt(words, parts)
+        place = np.empty(len(order), np.int32)
+        place[order] = np.arange(1, len(order) + 1, dtype=np.int32)
+        which = np.zeros(len(hashes), np.int32)
+        which[inner] = place[where]
+        made = [("tokens", 0, shrunk(which)), ("train", 0, shrunk(train.astype(np.uint8))), *_asked("words", words[order], dealt)]
+        table = _chunk_table(chunk, made)
         key_type = held[0][3].type
-        yield pa.RecordBatch.from_arrays([columns[0], pa.array([chunk] * len(made), pa.int64()), columns[1], columns[2], pa.nulls(len(made), key_type), pa.nulls(len(made), pa.int64())], names=schema.names)
+        yield pa.RecordBatch.from_arrays([*(c.combine_chunks() for c in table.columns), pa.nulls(len(made), key_type), pa.nulls(len(made), pa.int64())], names=schema.names)
         n = len(sizes)
         keys = pa.chunked_array([k for *_, k in held]).combine_chunks()
         yield pa.RecordBatch.from_arrays([pa.array(["texts"] * n), pa.array([chunk] * n, pa.int64()), pa.array(np.arange(n, dtype=np.int32)), pa.nulls(n, pa.binary()), keys, pa.array(sizes, pa.int64())], names=schema.names)
@@ -192,6 +240,67 @@ def _chunks(rows: DataFrame, vocab, parts: int) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
+def _numbers(asked: DataFrame, counts: DataFrame, vocab, parts: int) -> DataFrame:
+    """Numbers of the words that the chunks ask for, in the order they ask. Words of one count are
+    numbered by partition and hash; outside the vocabulary they share their count's first number."""
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.append_column("part", pa.array(_parts(batch.column("word").to_numpy().view(np.uint64), parts)))
+
+    def run(asking: pa.Table, table: pa.Table) -> pa.Table:
+        words, n, before = (table.column(c) for c in ("word", "n", "before"))
+        own, sums = table.filter(words.is_valid()), table.filter(words.is_null()).sort_by("n")
+        words, n = own.column("word").to_numpy().view(np.uint64), own.column("n").to_numpy()
+        order = np.lexsort((words, n))
+        words, n = words[order], n[order]
+        rank = np.arange(len(n)) - np.searchsorted(n, n)
+        first = vocab.value.first(n)
+        number = first
+        if len(n):
+            before = sums.column("before").to_numpy()[np.searchsorted(sums.column("n").to_numpy(), n)]
+            number = np.where(first <= vocab.value.known, first + before + rank, first)
+        order = np.argsort(words)
+        words, number = np.append(words[order], END), np.append(number[order], 0)
+        out = []
+        for chunk, part, payload in zip(*(asking.column(c).to_pylist() for c in ("chunk", "part", "payload")), strict=True):
+            wanted = np.cumsum(grown(payload, np.uint64), dtype=np.uint64)
+            at = np.minimum(np.searchsorted(words[:-1], wanted), len(words) - 1)
+            out.append(_chunk_table(chunk, [("numbers", part, shrunk(np.where(words[at] == wanted, number[at], 0).astype(np.int64)))]))
+        return pa.concat_tables(out) if out else _chunk_table(0, [])
+
+    placed = counts.where(F.col("word") != int(END.view(np.int64))).mapInArrow(place, "word long, n long, part int")
+    earlier = F.sum("size").over(Window.partitionBy("n").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    sums = placed.groupBy("n", "part").agg(F.count(F.lit(1)).alias("size")).select("n", "part", F.coalesce(earlier, F.lit(0)).alias("before"))
+    table = placed.withColumn("before", F.lit(None).cast("long")).unionByName(sums.withColumn("word", F.lit(None).cast("long")))
+    return asked.groupBy("part").cogroup(table.groupBy("part")).applyInArrow(run, _CHUNK_ROW)
+
+
+def _questions(met: DataFrame, vocab, parts: int) -> DataFrame:
+    """The pairs a chunk asks each partition for, how often it has seen them in training texts, and
+    the histories whose backoff weights it asks for."""
+    def run(group: pa.Table) -> pa.Table:
+        words = vocab.value
+        which = grown(_blobs(group, "tokens")[0], np.int32)
+        train = grown(_blobs(group, "train")[0], np.uint8)
+        sizes = np.diff(np.flatnonzero(which == 0), prepend=-1)
+        ids = words.ids(_joined(_blobs(group, "numbers")), which)
+        pairs, where = np.unique(words.pairs(ids), return_inverse=True)
+        seen = np.bincount(where, np.repeat(train, sizes), len(pairs)).astype(np.uint32)
+        order, dealt = _dealt(pairs, parts)
+        made = _asked("pairs", pairs[order], dealt)
+        made += [("seen", p, shrunk(seen[order[a:b]])) for p, a, b in dealt]
+        histories = np.unique(words.split(pairs)[0]).astype(np.uint64)
+        order, dealt = _dealt(histories, parts)
+        return _chunk_table(group.column("chunk")[0].as_py(), made + _asked("histories", histories[order], dealt))
+
+    return met.groupBy("chunk").applyInArrow(run, _CHUNK_ROW)
+
+
+def _joined(blobs: dict[int, bytes]) -> np.ndarray:
+    """Numbers of a chunk's words, in its own order of them."""
+    return np.concatenate([np.zeros(0, np.int64), *(grown(blobs[p], np.int64) for p in sorted(blobs))])
+
+
 def _pair_table(asked: DataFrame) -> DataFrame:
     """Totals of all pairs, by partition: answers to the chunks, the seen pairs and their counts,
     and how many pairs were seen r times (chunk = r, payload empty, n)."""
@@ -216,47 +325,42 @@ def _pair_table(asked: DataFrame) -> DataFrame:
     return asked.groupBy("part").applyInArrow(run, schema)
 
 
-def _backoff(seen: DataFrame, vocab, factors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each history: the factor for unseen words, and one for seen words (1, unless every
-    word was seen after it). At most one row for each vocabulary word reaches the driver."""
-    def run(group: pa.Table) -> pa.Table:
+def _backoff(asked: DataFrame, seen: DataFrame, vocab, factors: np.ndarray, parts: int) -> DataFrame:
+    """For each history that a chunk asks for: the factors for unseen words, then those for seen
+    words (1, unless every word was seen after it)."""
+    def add(group: pa.Table) -> pa.Table:
         words = vocab.value
         by_kind = dict(zip(group.column("kind").to_pylist(), group.column("payload").to_pylist(), strict=True))
         keys, counts = np.cumsum(grown(by_kind["keys"], np.uint64), dtype=np.uint64), grown(by_kind["counts"], np.int64)
-        history, word = (keys // np.uint64(words.size)).astype(np.int64), (keys % np.uint64(words.size)).astype(np.int64)
+        history, word = words.split(keys)
         own, where = np.unique(history, return_inverse=True)
-        taken = np.bincount(where, discounted(counts, factors) / words.seen[history], len(own))
-        lower = np.bincount(where, words.share[word], len(own))
+        taken = np.bincount(where, discounted(counts, factors) / words.seen(history), len(own))
+        lower = np.bincount(where, words.share(word), len(own))
         return pa.table({"history": own, "taken": taken.astype(np.float64), "lower": lower.astype(np.float64)})
 
-    sums = seen.groupBy("part").applyInArrow(run, "history long, taken double, lower double").groupBy("history").agg(F.sum("taken").alias("taken"), F.sum("lower").alias("lower")).toArrow()
-    unseen, scale = np.ones(vocab.value.size), np.ones(vocab.value.size)
-    at, taken, lower = (sums.column(c).to_numpy() for c in ("history", "taken", "lower"))
-    every = 1 - lower < 1e-9
-    unseen[at] = np.where(every, 0.0, (1 - taken) / np.where(every, 1.0, 1 - lower))
-    scale[at[every]] = 1 / taken[every]
-    return unseen, scale
-
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.append_column("part", pa.array(_parts(batch.column("history").to_numpy().view(np.uint64), parts)))
 
-def _word_answers(asked: DataFrame, counts: DataFrame, parts: int) -> DataFrame:
-    """Counts of the unknown words that the chunks ask for, in the order they ask."""
     def run(asking: pa.Table, table: pa.Table) -> pa.Table:
-        words, n = table.column("word").to_numpy().view(np.uint64), table.column("n").to_numpy()
-        order = np.argsort(words)
-        words, n = np.append(words[order], END), np.append(n[order], 0)
+        table = table.sort_by("history")
+        known, taken, lower = (table.column(c).to_numpy() for c in ("history", "taken", "lower"))
+        every = 1 - lower < 1e-9
+        # Last, a history that was never seen.
+        known = np.append(known.view(np.uint64), END)
+        unseen = np.append(np.where(every, 0.0, (1 - taken) / np.where(every, 1.0, 1 - lower)), 1.0)
+        scale = np.append(np.where(every, 1 / taken, 1.0), 1.0)
         out = []
         for chunk, part, payload in zip(*(asking.column(c).to_pylist() for c in ("chunk", "part", "payload")), strict=True):
             wanted = np.cumsum(grown(payload, np.uint64), dtype=np.uint64)
-            at = np.minimum(np.searchsorted(words[:-1], wanted), len(words) - 1)
-            out.append(("word_answers", chunk, part, shrunk(np.where(words[at] == wanted, n[at], 0).astype(np.int64))))
-        return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True) if out else [[]] * 4, (pa.string(), pa.int64(), pa.int32(), pa.binary()), strict=True)], names=[c for c, _ in _CHUNK_FIELDS])
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.append_column("part", pa.array(_parts(batch.column("word").to_numpy().view(np.uint64), parts)))
+            at = np.searchsorted(known[:-1], wanted)
+            at = np.where(known[at] == wanted, at, len(known) - 1)
+            out.append(_chunk_table(chunk, [("unseen", part, shrunk(unseen[at])), ("scale", part, shrunk(scale[at]))]))
+        return pa.concat_tables(out) if out else _chunk_table(0, [])
 
-    placed = counts.mapInArrow(place, "word long, n long, part int")
-    return asked.groupBy("part").cogroup(placed.groupBy("part")).applyInArrow(run, ", ".join(f"{c} {t}" for c, t in _CHUNK_FIELDS))
+    sums = seen.groupBy("part").applyInArrow(add, "history long, taken double, lower double").groupBy("history").agg(F.sum("taken").alias("taken"), F.sum("lower").alias("lower"))
+    placed = sums.mapInArrow(place, "history long, taken double, lower double, part int")
+    return asked.groupBy("part").cogroup(placed.groupBy("part")).applyInArrow(run, _CHUNK_ROW)
 
 
 def katz_scores(docs: DataFrame, train: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -273,46 +377,35 @@ def katz_scores(docs: DataFrame, train: Column, key: str = "doc_id", text: str =
     counts = scratch.save(word_counts(rows), "words")
     words = vocabulary(counts)
     vocab, parts = spark.sparkContext.broadcast(words), max(1, words.total // PART_TOKENS)
-    chunks = scratch.save(_chunks(rows, vocab, parts), "chunks", "kind")
-    table = scratch.save(_pair_table(chunks.where("kind in ('pairs', 'seen')").select("kind", "chunk", "part", "payload")), "pairs", "kind")
+    fields = [c for c, _ in _CHUNK_FIELDS]
+    chunks = scratch.save(_chunks(rows, parts), "chunks", "kind")
+    numbers = scratch.save(_numbers(chunks.where("kind = 'words'").select(*fields), counts, vocab, parts), "numbers")
+    asked = scratch.save(_questions(chunks.where("kind in ('tokens', 'train')").select(*fields).unionByName(numbers), vocab, parts), "asked", "kind")
+    table = scratch.save(_pair_table(asked.where("kind in ('pairs', 'seen')")), "pairs", "kind")
     ranks = {r.chunk: r.n for r in table.where("kind = 'ranks'").groupBy("chunk").agg(F.sum("n").alias("n")).collect()}
     factors = discounts(ranks)
-    unseen, scale = _backoff(table.where("kind in ('keys', 'counts')").select("kind", "part", "payload"), vocab, factors)
-    model = spark.sparkContext.broadcast((unseen, scale))
-    fields = [c for c, _ in _CHUNK_FIELDS]
-    word_answers = _word_answers(chunks.where("kind = 'words'").select(*fields), counts, parts)
-    own = chunks.where("kind in ('tokens', 'unknown', 'texts')").select(*fields, "key", "tokens")
-    met = own.unionByName(table.where("kind = 'answers'").select(*fields), True).unionByName(word_answers, True)
+    weights = scratch.save(_backoff(asked.where("kind = 'histories'"), table.where("kind in ('keys', 'counts')").select("kind", "part", "payload"), vocab, factors, parts), "weights")
+    scratch.drop("words", "asked")
+    own = chunks.where("kind in ('tokens', 'texts')").select(*fields, "key", "tokens")
+    met = own.unionByName(numbers, True).unionByName(table.where("kind = 'answers'").select(*fields), True).unionByName(weights, True)
     schema = T.StructType([
         T.StructField(key, docs.schema[key].dataType), T.StructField("n_tokens", T.LongType()), T.StructField("n_known", T.LongType()),
         T.StructField("train_tokens", T.LongType()), T.StructField("base_score", T.DoubleType()), T.StructField("score", T.DoubleType())])
 
     def run(group: pa.Table) -> pa.Table:
-        words, (unseen, scale) = vocab.value, model.value
-        kinds = np.array(group.column("kind").to_pylist(), object)
-
-        def blobs(kind: str) -> dict[int, bytes]:
-            own = group.filter(pa.array(kinds == kind))
-            return dict(zip(own.column("part").to_pylist(), own.column("payload").to_pylist(), strict=True))
-
-        texts = group.filter(pa.array(kinds == "texts")).sort_by("part")
-        ids = grown(blobs("tokens")[0], np.int32)
-        which = grown(blobs("unknown")[0], np.int32)
+        words = vocab.value
+        texts = group.filter(pa.array([k == "texts" for k in group.column("kind").to_pylist()], pa.bool_())).sort_by("part")
+        which, known = grown(_blobs(group, "tokens")[0], np.int32), _joined(_blobs(group, "numbers"))
         firsts = np.append(0, np.cumsum(texts.column("tokens").to_numpy()))
-        pairs, where = np.unique(words.pairs(ids), return_inverse=True)
-        totals, part = np.zeros(len(pairs), np.int64), _parts(pairs, parts)
-        for p, data in blobs("answers").items():
-            totals[part == p] = grown(data, np.int64)
-        history, word = (pairs // np.uint64(words.size)).astype(np.int64), (pairs % np.uint64(words.size)).astype(np.int64)
-        p_seen = scale[history] * discounted(totals, factors) / np.maximum(1, words.seen[history])
-        p = np.where(totals > 0, p_seen, unseen[history] * words.share[word])
-        # Unknown words are numbered by hash over the chunk; each partition answered in that order.
-        unknown_part = grown(blobs("unknown")[1], np.int32)
-        unknown_seen = np.zeros(len(unknown_part), np.int64)
-        for q, data in blobs("word_answers").items():
-            unknown_seen[unknown_part == q] = grown(data, np.int64)
-        seen = words.seen[ids]
-        seen[ids == 0] = unknown_seen[which]
+        pairs, where = np.unique(words.pairs(words.ids(known, which)), return_inverse=True)
+        totals = _answered(_blobs(group, "answers"), _dealt(pairs, parts)[0], np.int64)
+        history, word = words.split(pairs)
+        histories, after = np.unique(history, return_inverse=True)
+        order = _dealt(histories.astype(np.uint64), parts)[0]
+        unseen, scale = (_answered(_blobs(group, kind), order, np.float64)[after] for kind in ("unseen", "scale"))
+        p_seen = scale * discounted(totals, factors) / np.maximum(1, words.seen(history))
+        p = np.where(totals > 0, p_seen, unseen * words.share(word))
+        seen = np.append(words.ends, words.occurrences(known))[which]
         base = np.log10((seen + 0.1) / (words.total + 0.1 * (words.distinct + 1)))
         n, starts = len(texts), firsts[:-1]
         return pa.Table.from_arrays([

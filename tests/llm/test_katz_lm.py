@@ -70,6 +70,13 @@ def test_same_scores_as_a_plain_model(spark, monkeypatch, share):
         assert found[k] == pytest.approx(expected)
 
 
+def test_rare_words_stay_in_a_large_corpus(spark):
+    common = spark.range(0, 90, 1, 4).select(F.col("id").alias("doc_id"), F.expr("repeat('the ', 100000)").alias("text"))
+    rare = spark.createDataFrame([(100 + k, "pale lamp" if k < 2 else "far moon") for k in range(4)] + [(200, "pale lamp"), (201, "pale moon")], "doc_id long, text string")
+    found = {r.doc_id: r.score for r in katz_lm.katz_scores(common.unionByName(rare), F.col("doc_id") < 200).where("doc_id >= 200").collect()}
+    assert found[200] > found[201] + 1
+
+
 def test_edges(spark):
     docs = edges.frame(spark, edges.rows())
     found = katz_lm.katz_scores(docs, F.col("doc_id") > 4)
