@@ -25,7 +25,8 @@ LENGTH = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 8  # of each width
 EPOCHS, BATCH, RATE = 12, 64, 0.01
-MAX_ROWS = 3_000  # labelled texts that training reads at most
+MAX_ROWS = 3_000  # labelled texts that training reads at most, besides
+PER_LANGUAGE = 100  # so many of each language, or all if it has fewer
 WINDOWS_PER_TEXT = 4  # windows of each of them, spread over the whole text
 UNKNOWN = "und"
 _CHUNK = 256  # windows that are scored at once
@@ -131,9 +132,11 @@ class Network:
 def fit(docs: DataFrame, keep, max_rows: int = MAX_ROWS, key: str = "doc_id", text: str = "text", lang: str = "lang") -> Network | None:
     """A network for the languages among the learnable rows; None if there are none.
 
-    At most ``max_rows`` texts, those with the smallest hash of key and text, give at most
-    ``WINDOWS_PER_TEXT`` windows each; this bounds what reaches the driver. Rows whose text has
-    no letter, or whose text or language is null, are left out.
+    Every language is learned, however rare: the sample is the ``max_rows`` texts with the
+    smallest hash of key and text, and of each language those with a hash under its own bound,
+    which lets about ``PER_LANGUAGE`` through. Each gives at most ``WINDOWS_PER_TEXT`` windows, so
+    what reaches the driver is bounded by the number of languages. Repeated rows count once. Rows
+    whose text has no letter, or whose text or language is null, are left out.
     """
     rows = docs.where(keep).select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
     chosen = rows.dropna(subset=["text", "lang"]).where(F.col("text").rlike(r"\p{L}")).select("text", "lang", F.xxhash64("key", "text").alias("rank"))
@@ -144,9 +147,13 @@ def fit(docs: DataFrame, keep, max_rows: int = MAX_ROWS, key: str = "doc_id", te
             picked = [windows[np.unique(np.linspace(a, b - 1, WINDOWS_PER_TEXT).astype(int))].tobytes() for a, b in zip(firsts[:-1], firsts[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("rank"), pa.array(picked, pa.binary())], names=["lang", "rank", "windows"])
 
-    # The limit is taken on the hash alone, before any text is moved.
-    sample = chosen.join(F.broadcast(chosen.select("rank").orderBy("rank").limit(max_rows).distinct()), "rank")
-    found = sorted(sample.mapInArrow(cut, "lang string, rank long, windows binary").collect())[:max_rows]
+    # The limits are taken on the hash alone, before any text is moved.
+    ranks = chosen.select("lang", "rank").distinct()
+    sizes = ranks.groupBy("lang").agg(F.count(F.lit(1)).alias("size"))  # one row for each language
+    own = ranks.join(F.broadcast(sizes), "lang").where(F.col("rank") / 2.0**64 + 0.5 <= PER_LANGUAGE / F.col("size")).drop("size")
+    picked = ranks.orderBy("rank", "lang").limit(max_rows).unionByName(own).distinct()
+    sample = chosen.join(F.broadcast(picked), ["lang", "rank"]).select("text", "lang", "rank").groupBy("lang", "rank").agg(F.min("text").alias("text"))
+    found = sorted(sample.mapInArrow(cut, "lang string, rank long, windows binary").collect())
     if not found:
         return None
     classes = sorted({r.lang for r in found})

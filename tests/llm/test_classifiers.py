@@ -38,6 +38,20 @@ def test_held_out_languages(spark):
     assert sum(r.lang == r.lang_pred for r in rows) >= 0.98 * len(rows)
 
 
+def test_rare_languages_are_learned(spark):
+    rng = random.Random(4)
+
+    def text(letters):
+        return " ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 8))) for _ in range(40))
+
+    rows = [(k, text("αβγδεζ"), "rare") if k % 100 == 7 else (k, text("abcdefgh"), "common") for k in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    network = language_id.fit(docs, F.lit(True), max_rows=20)
+    assert network.classes == ["common", "rare"]
+    new = spark.createDataFrame([(k, text("αβγδεζ" if k % 2 else "abcdefgh")) for k in range(40)], "doc_id long, text string")
+    assert all(r.lang_pred == ["common", "rare"][r.doc_id % 2] for r in language_id.predict(new, network).collect())
+
+
 @pytest.mark.xfail(reason="80 toxic texts are too few: 9 of 15 unseen misspellings reach 0.3, 10 are asked for", strict=False)
 def test_misspelt_words_share_vectors(spark):
     rng, bad = random.Random(1), ["nastyword", "horribly", "vileness"]
