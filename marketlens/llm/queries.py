@@ -8,8 +8,11 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm import byte_bpe, decontaminate, katz_lm, language_id, line_dedup, near_dup, pii, quality_classifier, quality_rules, toxicity
+from marketlens.llm import (
+    byte_bpe, decontaminate, katz_lm, language_id, lexical_search, line_dedup, near_dup, periodic_runs, pii, quality_classifier, quality_rules,
+    token_files, toxicity)
 from marketlens.llm.fitting import labelled_sample
+from marketlens.llm.storage import Scratch
 from marketlens.llm.text import remainder_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -163,3 +166,63 @@ def op10_katz_lm(spark, folder):
     docs = table(spark, folder, "documents")
     return katz_lm.katz_scores(docs, remainder_of("doc_id", 10) != 0).select(
         "doc_id", (remainder_of("doc_id", 10) == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op11_rans_token_files(spark, folder):
+    files = Scratch(spark, "token-files").folder
+    token_files.write(table(spark, folder, "documents"), files, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.read(spark, files, with_ids=False).select("doc_id", "start", F.col("n").alias("n_tokens"), F.col("crc32").alias("ids_crc32"))
+
+
+@query
+def op12_lexical_search(spark, folder):
+    docs, items = (table(spark, folder, n) for n in ("documents", "benchmark"))
+    return lexical_search.search(docs, items)
+
+
+ORACLES["op12_lexical_search"] = r"""
+with doc_terms as (
+  select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from documents where text is not null),
+sizes as (select doc_id, count(*) as n from doc_terms group by doc_id),
+total as (select count(*) as docs, cast(sum(n) as bigint) as terms from sizes),
+found as (select doc_id, term, count(*) as tf from doc_terms group by doc_id, term),
+weighed as (
+  select term, cast(floor(1000 * ln((2 * docs + 2)::double / (2 * df + 1)::double)) as bigint) as w
+  from (select term, count(*) as df from found group by term), total),
+item_terms as (
+  select item_id, term, count(*) as times from (
+    select item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+    from (select distinct item_id, text from benchmark where text is not null)) group by item_id, term),
+scored as (
+  select item_id, doc_id, cast(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // terms)))) as bigint) as score
+  from item_terms join weighed using (term) join found using (term) join sizes using (doc_id), total group by item_id, doc_id),
+ranked as (select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from scored where score > 0)
+select item_id, cast(rank as integer) as rank, doc_id, score from ranked where rank <= 10
+"""
+
+
+def with_period(docs: DataFrame) -> DataFrame:
+    """(doc_id, text); in a tenth of the documents the words from one on repeat with a period."""
+    hashed = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string")).alias("h")).withColumn(
+        "words", F.when(F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))))
+    g, n = F.floor(F.col("h") / 10), F.size("words")
+    a = (g % n).cast("int")
+    period = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    turned = F.flatten(F.array_repeat(F.slice("words", a + 1, period), F.ceil((n - a) / period).cast("int")))
+    changed = F.concat(F.slice("words", F.lit(1), a), F.slice(turned, F.lit(1), n - a))
+    return hashed.select("doc_id", F.when(n > 0, F.array_join(changed, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op13_periodic_runs(spark, folder):
+    found = periodic_runs.find_runs(with_period(table(spark, folder, "documents")))
+    # The runs come by start and period, so the first of equal exponents stays.
+    best = F.aggregate("runs", F.lit(None).cast(periodic_runs.RUN), lambda top, run: F.when(
+        top.isNull() | (run["length"] * top["period"] > top["length"] * run["period"]), run).otherwise(top))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", *(r[c].cast("string") for c in periodic_runs.RUN.names)), F.lit("\n"))), "")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
