@@ -208,8 +208,8 @@ def sealed(body: bytes) -> bytes:
 
 
 def opened(record: bytes) -> bytes:
-    plain = (np.frombuffer(record, np.uint8)[1:] ^ np.uint8(record[0])).tobytes() if len(record) > 5 else b"\0" * 4
-    if zlib.crc32(plain[:-4]) != struct.unpack("<I", plain[-4:])[0] or len(plain) == 4:
+    plain = (np.frombuffer(record, np.uint8)[1:] ^ np.uint8(record[0])).tobytes() if record else b""
+    if len(plain) < 4 or zlib.crc32(plain[:-4]) != struct.unpack("<I", plain[-4:])[0]:
         raise BrokenRecord("a record's checksum does not fit")
     return plain[:-4]
 
