@@ -261,7 +261,7 @@ def search(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "
     for n, (ids, texts) in enumerate(_blocks(items, item, item_text)):
         block = Items(ids, texts)
         found = scratch.save(postings(docs, block.terms, key, text), f"postings{n}")
-        n_docs, n_terms = found.select(F.count_if("n > 0"), F.coalesce(F.sum("n"), F.lit(0))).first()
+        n_docs, n_terms = found.select(F.count_if(F.col("n") > 0), F.coalesce(F.sum("n"), F.lit(0))).first()
         held = found.select(F.explode("terms").alias("term")).groupBy("term").count().toArrow()
         df = np.zeros(len(block.terms), np.int64)
         df[held.column("term").to_numpy()] = held.column("count").to_numpy()
