@@ -45,13 +45,45 @@ LANES = 32
 BLOCK_IDS = 16_384
 RECORD_IDS = 1 << 20
 SHARD_IDS = 1 << 24
-CACHED_PIECES = 300_000  # pieces of text whose ids a worker keeps
+CACHED_PIECES = 1_500_000  # pieces of text whose ids a worker keeps, about 40 bytes each
 
 END_OF_RECORD = "\x01\x1eTKN\x1f\x02\x03"
 HEADER = struct.Struct("<4sHHIIqqIII")
 MARK, VERSION = b"TKNR", 1
 
 
+JOINED_PIECES = 300  # pieces that are encoded as one text
+
+# Kinds of bytes; a byte of a character that is not ASCII is OTHER, but in the letters of LETTER_LEADS.
+OTHER, SPACE, BREAK, LETTER, DIGIT, SIGN, APOSTROPHE = range(7)
+KINDS = np.full(256, OTHER, np.int8)
+KINDS[:128] = SIGN
+KINDS[np.flatnonzero(SPACES)] = BREAK
+KINDS[0x20], KINDS[0x27] = SPACE, APOSTROPHE
+KINDS[0x30:0x3A] = DIGIT
+KINDS[0x41:0x5B] = KINDS[0x61:0x7B] = LETTER
+PLAIN = np.isin(np.arange(7), (LETTER, DIGIT, SIGN, APOSTROPHE))
+# First bytes of U+00C0 to U+027F and U+0400 to U+047F, which are letters but for U+00D7 and U+00F7.
+LETTER_LEADS = np.zeros(256, bool)
+LETTER_LEADS[[*range(0xC3, 0xCA), 0xD0, 0xD1]] = True
+# Pairs of kinds between which a pre-token always ends.
+CUTS = np.zeros((7, 7), bool)
+for _kind in (LETTER, DIGIT, SIGN, APOSTROPHE):
+    CUTS[_kind, [SPACE, BREAK]] = True
+for _kind in (LETTER, DIGIT, SIGN):
+    CUTS[_kind, [k for k in (LETTER, DIGIT) if k != _kind]] = True
+    CUTS[_kind, [SIGN, APOSTROPHE]] = _kind != SIGN
+
+
+def kinds_of(data: np.ndarray) -> np.ndarray:
+    """The kind of each byte of a UTF-8 text."""
+    kinds = KINDS[data]
+    lead = np.flatnonzero(LETTER_LEADS[data[:-1]])
+    lead = lead[(data[lead] != 0xC3) | ((data[lead + 1] != 0x97) & (data[lead + 1] != 0xB7))]
+    kinds[lead] = kinds[lead + 1] = LETTER
+    return kinds
+
+
 class BrokenRecord(ValueError):
     """A record or block whose checksum does not fit."""
 
@@ -59,9 +91,10 @@ class BrokenRecord(ValueError):
 class IdCoder:
     """Ids of whole texts by the tokenizers library.
 
-    With a plain byte-level pre-tokenizer, white space after an ASCII character that is none
-    always starts a new pre-token, so the text may be cut there; each different piece is encoded
-    once and kept. Pieces of one slice are told apart by a 64-bit hash.
+    A plain byte-level pre-tokenizer always starts a new pre-token at certain pairs of ASCII
+    characters (``_bounds``), so texts may be cut there; each different piece is encoded once and
+    kept. Pieces are told apart by two 64-bit hashes. New pieces are encoded as one text, joined so
+    that they stay apart; the lengths of the ids' strings say which ids belong to which piece.
     """
 
     def __init__(self, path: str):
@@ -72,18 +105,32 @@ class IdCoder:
         before = parts.get("pre_tokenizer") or {}
         self.cuts = (before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
                      and not parts.get("normalizer") and all(t["special"] for t in parts.get("added_tokens", ())))
+        vocabulary = self.tokenizer.get_vocab()
+        self.bytes_of = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
+        self.bytes_of[list(vocabulary.values())] = [len(t) for t in vocabulary]  # byte-level strings have a character for each byte
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}  # piece -> its segment in flat
+        """``one`` (sorted) and ``two`` are the hashes of known pieces, ``segment`` their places in ``flat``."""
+        self.one, self.two, self.segment = np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.flat, self.ends = array("I"), array("q", [0])
 
-    def _bounds(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
-        """Starts and ends of pieces; a text without bytes has none."""
+    def _bounds(self, texts: Texts, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and ends of pieces; a text without bytes has none.
+
+        Between characters of known kinds, a pre-token ends before white space that follows
+        something else, at each change between letters, digits and signs (but after an
+        apostrophe, which may begin a contraction), and after a single white space other than a
+        space.
+        """
         flag = np.zeros(len(texts.data), bool)
-        if self.cuts:
-            plain = (texts.data < 0x80) & ~SPACES[texts.data]
-            flag[1:] = SPACES[texts.data[1:]] & plain[:-1]
+        if self.cuts and len(flag) > 1:
+            here, before = kinds[1:], kinds[:-1]
+            flag[1:] = CUTS.reshape(-1)[before * np.int8(7) + here]
+            # A break that is white space by itself: what stands before it is none, or nothing.
+            flag[texts.starts] = True
+            alone = np.flatnonzero(flag[:-1] & (before == BREAK))
+            flag[alone[PLAIN[kinds[alone + 1]]] + 1] = True
         flag[texts.starts] = flag[texts.ends] = True
         bounds = np.append(np.flatnonzero(flag), len(texts.data))
         separator = np.zeros(len(texts.data) + 1, bool)
@@ -91,22 +138,58 @@ class IdCoder:
         own = ~separator[bounds[:-1]]
         return bounds[:-1][own], bounds[1:][own]
 
+    def _new(self, data: np.ndarray, kinds: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+        """Ids of each piece."""
+        first, last = kinds[starts], kinds[ends - 1]
+        # Joined are pieces that end in a plain character; one that begins so too gets a line break before it.
+        plain = (first != OTHER) & PLAIN[last] & self.cuts
+        found: list[np.ndarray | None] = [None] * len(starts)
+        own = np.flatnonzero(plain)
+        if len(own):
+            apart = PLAIN[first[own]]
+            sizes = ends[own] - starts[own]
+            old, new = np.append(0, np.cumsum(sizes)), np.append(0, np.cumsum(sizes + apart))
+            joined = np.full(new[-1], 10, np.uint8)
+            within = np.arange(old[-1])
+            joined[within + np.repeat(new[:-1] + apart - old[:-1], sizes)] = data[within + np.repeat(starts[own] - old[:-1], sizes)]
+            edges = [*new[:-1:JOINED_PIECES].tolist(), len(joined)]
+            texts = [joined[a:b].tobytes().decode() for a, b in zip(edges[:-1], edges[1:], strict=True)]
+            ids = np.concatenate([np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+            upto = np.append(0, np.cumsum(self.bytes_of[ids]))
+            low, high = np.searchsorted(upto, new[:-1] + apart), np.searchsorted(upto, new[1:])
+            if (upto[low] == new[:-1] + apart).all() and (upto[high] == new[1:]).all():
+                for n, a, b in zip(own.tolist(), low.tolist(), high.tolist(), strict=True):
+                    found[n] = ids[a:b]
+        rest = [n for n, ids in enumerate(found) if ids is None]
+        for n, encoding in zip(rest, self.tokenizer.encode_batch_fast([data[starts[n] : ends[n]].tobytes().decode() for n in rest], add_special_tokens=False), strict=True):
+            found[n] = np.array(encoding.ids, np.uint32)
+        return found
+
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and the n + 1 offsets of each text's ids."""
         texts = Texts(column)
-        starts, ends = self._bounds(texts)
-        _, first, which = np.unique(texts.hashes(starts, ends), return_index=True, return_inverse=True)
-        data, sizes = gathered(texts.data, np.stack([starts, ends], 1).reshape(-1), 2 * first)
-        pieces = pa.Array.from_buffers(pa.large_string(), len(first), [None, pa.py_buffer(np.append(0, np.cumsum(sizes))), pa.py_buffer(data)]).to_pylist()
-        if len(self.known) > CACHED_PIECES:
+        kinds = kinds_of(texts.data)
+        starts, ends = self._bounds(texts, kinds)
+        one, two = (texts.hashes(starts, ends, k) for k in (0, 1))
+        _, first, which = np.unique(one, return_index=True, return_inverse=True)
+        if (two != two[first][which]).any():  # pieces that only the second hash tells apart
+            _, first, which = np.unique(np.stack([one, two], axis=1), axis=0, return_index=True, return_inverse=True)
+        one, two = one[first], two[first]
+        if len(self.one) > CACHED_PIECES:
             self._forget()
-        if new := [p for p in pieces if p not in self.known]:
-            self.known |= zip(new, range(len(self.known), len(self.known) + len(new)), strict=True)
-            for found in self.tokenizer.encode_batch_fast(new, add_special_tokens=False):
-                self.flat.extend(found.ids)
-                self.ends.append(len(self.flat))
-        own = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
-        ids, per_piece = gathered(np.frombuffer(self.flat, np.uint32), np.frombuffer(self.ends, np.int64), own[which.reshape(-1)])
+        place = np.searchsorted(self.one, one)
+        hit = place < len(self.one)
+        hit[hit] = (self.one[place[hit]] == one[hit]) & (self.two[place[hit]] == two[hit])
+        segment, new = np.zeros(len(one), np.int64), np.flatnonzero(~hit)
+        segment[hit] = self.segment[place[hit]]
+        if len(new):
+            found = self._new(texts.data, kinds, starts[first[new]], ends[first[new]])
+            segment[new] = len(self.ends) - 1 + np.arange(len(new))
+            self.ends.frombytes((self.ends[-1] + np.cumsum([len(x) for x in found])).astype(np.int64).tobytes())
+            self.flat.frombytes(np.concatenate(found).tobytes())
+            self.one, self.two, self.segment = (
+                np.insert(a, place[new], b[new]) for a, b in ((self.one, one), (self.two, two), (self.segment, segment)))
+        ids, per_piece = gathered(np.frombuffer(self.flat, np.uint32), np.frombuffer(self.ends, np.int64), segment[which.reshape(-1)])
         sums = np.append(0, np.cumsum(per_piece))
         return ids, sums[np.append(np.searchsorted(starts, texts.starts), len(starts))]
 
@@ -145,14 +228,15 @@ def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.
     parts: list[np.ndarray] = []
     held = 0
     for batch in batches:
-        for n in range(batch.num_rows):
-            ids = np.frombuffer(unpack(batch.column("ids")[n].as_py()), np.uint16).reshape(2, -1).T.copy().view(np.uint32).reshape(-1)
+        start, column = 0, batch.column("key")
+        for n, packed in enumerate(batch.column("ids")):
+            ids = np.frombuffer(unpack(packed.as_buffer()), np.uint16).reshape(2, -1).T.copy().view(np.uint32).reshape(-1)
             if held and held + len(ids) > RECORD_IDS:
-                yield piece(keys, parts)
-                keys, parts, held = [], [], 0
-            keys.append(batch.column("key").slice(n, 1))
+                yield piece([*keys, column.slice(start, n - start)], parts)
+                keys, parts, held, start = [], [], 0, n
             parts.append(ids)
             held += len(ids)
+        keys.append(column.slice(start))
     if parts:
         yield piece(keys, parts)
 
@@ -176,6 +260,8 @@ class Table:
 
     def __init__(self, ids: np.ndarray, freqs: np.ndarray, bits: int):
         self.ids, self.freqs, self.bits = ids.astype(np.uint32), freqs.astype(np.uint32), bits
+        self.symbols = np.zeros(int(ids[-1]) + 1 if len(ids) else 0, np.int32)  # of each id
+        self.symbols[self.ids] = np.arange(len(ids))
 
     def to_bytes(self) -> bytes:
         body = struct.pack("<4sHHI", MARK, VERSION, self.bits, len(self.ids)) + self.ids.tobytes() + self.freqs.tobytes()
@@ -220,7 +306,7 @@ def record_of(table: bytes, shard: int, number: int, before: int, keys: pa.Array
     blocks = -(-len(ids) // BLOCK_IDS)
     steps = -(-len(ids) // (blocks * LANES))
     symbols = np.full(blocks * steps * LANES, np.argmax(held.freqs))
-    symbols[: len(ids)] = np.searchsorted(held.ids, ids)
+    symbols[: len(ids)] = held.symbols[ids]
     words, sizes, states = coder.encode(symbols, blocks)
     checks = [zlib.crc32(ids[k : k + steps * LANES]) for k in range(0, blocks * steps * LANES, steps * LANES)]
     sink = pa.BufferOutputStream()

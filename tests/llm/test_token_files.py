@@ -1,4 +1,5 @@
 import itertools
+import random
 import zlib
 
 import numpy as np
