@@ -241,10 +241,10 @@ def user_profiles(log: DataFrame, keywords: int = 10) -> DataFrame:
         "user_id", "login_days_count", "login_dates", "search_days", "purchase_days", "browse_days",
         *slot_counts(hour), "primary_time_slot", "top_search_keywords", *counts,
         F.col("device.brand").alias("brand"), F.col("device.plat").alias("plat"), F.col("device.platv").alias("platv"),
-        "network_types", F.array_join(_tags(), ",").alias("user_tags"), _level().alias("user_level"))
+        "network_types", F.array_join(tags_of(), ",").alias("user_tags"), level_of().alias("user_level"))
 
 
-def _tags() -> Column:
+def tags_of() -> Column:
     days, orders = F.col("login_days_count"), F.col("order_count")
     converted = F.col("purchase_days") != ""
     return F.array_compact(F.array(
@@ -256,7 +256,7 @@ def _tags() -> Column:
         F.concat("primary_time_slot", F.lit("活跃"))))
 
 
-def _level() -> Column:
+def level_of() -> Column:
     score = F.col("login_days_count") * 2 + F.col("order_count") * 10 + F.col("browsed_products_count") + F.col("search_keyword_count")
     return F.when(score >= 100, "VIP").when(score >= 50, "高级").when(score >= 20, "中级").otherwise("普通")
 

@@ -175,8 +175,8 @@ def clean_id(s):
 
 @query
 def shop_bucket(s):
-    sold = s.order_detail().groupBy("product_id").agg(F.sum("qty").alias("qty"))
-    return warehouse.shop_bucket(sold, "product_id")
+    sold = s.order_detail().groupBy("product_id", "order_id").agg(F.sum("qty").alias("qty"))
+    return warehouse.shop_bucket(sold, "product_id", "order_id")
 
 
 @query

@@ -26,10 +26,10 @@ def last_comma_part(text: str):
 
 def moderate(comments: DataFrame, words: DataFrame, text: str = "comment_txt", match: str = "inside") -> DataFrame:
     """Grade P0: the last comma part is a listed word. Grade P1: another text holds listed
-    words; they are named in the order in which they first appear."""
+    words; they are named in the order in which they first appear, two at one place by the word."""
     flagged = word_flag(comments, words, last_comma_part(text))
     hits = word_hits(comments, words, "id", text, match).groupBy("id").agg(F.collect_list("word").alias("_words"))
-    placed = F.transform("_words", lambda w: F.struct(F.instr(F.lower(text), w).alias("at"), w.alias("w")))
+    placed = F.transform("_words", lambda w: F.struct(F.instr(F.lower(text), F.lower(w)).alias("at"), w.alias("w")))
     named = F.array_join(F.transform(F.array_sort(placed), lambda p: p["w"]), ", ")
     first = F.col("is_violation") == 1
     return flagged.join(hits, "id", "left").select(

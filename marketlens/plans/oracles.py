@@ -7,6 +7,8 @@ to complete SQL text; views that a query does not name cost nothing.
 
 from __future__ import annotations
 
+from marketlens.plans import oracles_rows
+
 SHOP = "'shop_' || lpad(cast({} % 20 as varchar), 3, '0')"
 
 VIEWS = f"""
@@ -382,5 +384,13 @@ QUERIES = {
         from (select *, lag(lon) over w as plon, lag(lat) over w as plat from vehicle window w as (partition by vehicleno order by ms, id))) group by all""",
 }
 
-# A query with common tables of its own takes the views into its list.
-ORACLES = {name: f"with {VIEWS}, {sql.strip().removeprefix('with ')}" if sql.strip().startswith("with ") else f"with {VIEWS} {sql}" for name, sql in QUERIES.items()}
+
+def complete(sql: str, views: str) -> str:
+    """A query with common tables of its own takes the views into its list."""
+    own = sql.strip()
+    kind = "with recursive" if own.startswith("with recursive ") else "with"
+    return f"{kind} {views}, {own.removeprefix(kind)}" if own.startswith("with ") else f"with {views} {own}"
+
+
+ORACLES = {name: complete(sql, VIEWS) for name, sql in QUERIES.items()}
+ORACLES |= {name: complete(sql, f"{VIEWS}, {oracles_rows.VIEWS}") for name, sql in oracles_rows.QUERIES.items()}

@@ -6,12 +6,14 @@ multiplies rows and a heavy group reaches a task only as a few partial sums.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.functions.calendar import day_text, second_text
 from marketlens.functions.columns import money, price_band, safe_ratio
 from marketlens.operators.joins import full_join_metrics, join_agg, order_lines
+from marketlens.operators.ordered import running_total
+from marketlens.operators.skew import chunk_of
 
 def one() -> Column:
     return F.lit(1)
@@ -285,10 +287,13 @@ def sku_comments(sku: DataFrame, comments: DataFrame) -> DataFrame:
         safe_ratio("good", "n", 4, 0).alias("good_comment_rate"))
 
 
-def shop_bucket(df: DataFrame, key: str, n: int = 10, prefix: str = "SHOP_") -> DataFrame:
-    """Shop label from the row number inside each key (the numbering starts again per key)."""
-    place = F.row_number().over(Window.partitionBy(key).orderBy(key))
-    return df.withColumn("shop_id", F.concat(F.lit(prefix), (place % n + 1).cast("string")))
+def shop_bucket(df: DataFrame, key: str, order: str, n: int = 10, prefix: str = "SHOP_", width: int = 1_000_000) -> DataFrame:
+    """Shop label from the row number inside each key (the numbering starts again per key).
+
+    Rows are numbered by ``order``, a number that is unique within a key, in slices of ``width``.
+    """
+    placed = running_total(df, [key], [order], {"_place": F.lit(1).cast("long")}, chunk_of(F.col(order), width))
+    return placed.withColumn("shop_id", F.concat(F.lit(prefix), (F.col("_place") % n + 1).cast("string"))).drop("_place")
 
 
 def count_audit(frames: dict[str, DataFrame]) -> DataFrame:

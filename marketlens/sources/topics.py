@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.functions.calendar import epoch_ms
+from marketlens.streaming.jobs import with_event_time, without_time
 
 
 def kafka_options(servers: str, topic: str, start: str | int = "latest") -> dict:
@@ -37,21 +37,25 @@ def rejects(df: DataFrame, schema: str, value: str = "value") -> DataFrame:
     return df.select(text.alias("line"), parsed.alias("r")).where("line is not null and trim(line) <> '' and r._bad is not null").select("line")
 
 
-def with_event_time(df: DataFrame, ts: str, lateness: str = "5 seconds") -> DataFrame:
-    """Event time of an epoch column and a watermark; rows without a time must be routed away first."""
-    timed = df.withColumn("event_time", F.timestamp_millis(epoch_ms(ts)))
-    return timed.where("event_time is not null").withWatermark("event_time", lateness)
-
-
-def read_json_stream(spark: SparkSession, source: dict, schema: str, ts: str, lateness: str = "5 seconds") -> DataFrame:
-    """Typed stream with event time and watermark.
+def raw_stream(spark: SparkSession, source: dict) -> DataFrame:
+    """Messages as they come, with their text in ``value``.
 
     ``source`` is either ``{"format": "kafka", **kafka_options(...)}`` or
     ``{"format": "text", "path": folder}``.
     """
     options = {k: v for k, v in source.items() if k not in ("format", "path")}
-    raw = spark.readStream.format(source["format"]).options(**options).load(source.get("path"))
-    return with_event_time(decode(raw, schema), ts, lateness)
+    return spark.readStream.format(source["format"]).options(**options).load(source.get("path"))
+
+
+def read_json_stream(spark: SparkSession, source: dict, schema: str, ts: str, lateness: str = "5 seconds") -> tuple[DataFrame, DataFrame]:
+    """Typed rows with event time and watermark, and beside them the rejects as text lines.
+
+    Rejects are messages that are not JSON of the schema, and rows without a readable time. Each
+    of the two frames is a query of its own when started.
+    """
+    raw = raw_stream(spark, source)
+    rows = decode(raw, schema)
+    return with_event_time(rows, ts, lateness), rejects(raw, schema).unionByName(without_time(rows, ts))
 
 
 def to_messages(df: DataFrame, key: str | None = None) -> DataFrame:
@@ -62,9 +66,24 @@ def to_messages(df: DataFrame, key: str | None = None) -> DataFrame:
 
 def write_json_stream(df: DataFrame, sink: dict, checkpoint: str, trigger: dict | None = None):
     """Start a query that writes JSON messages to a topic, or to text files in tests."""
-    options = {k: v for k, v in sink.items() if k not in ("format", "path")}
-    key = None if sink["format"] != "kafka" else sink.get("key_column")
-    options.pop("key_column", None)
-    writer = to_messages(df, key).writeStream.format(sink["format"]).options(**options).option("checkpointLocation", checkpoint)
+    key = sink.get("key_column") if sink["format"] == "kafka" else None
+    return write_messages(to_messages(df, key), sink, checkpoint, trigger)
+
+
+def pass_through(raw: DataFrame, key: str | None = None, value: str = "value") -> DataFrame:
+    """Messages of a change log as they are, byte for byte, for another topic or for files.
+
+    ``key`` is a JSON path whose value becomes the message key, such as ``$.source.table``; null
+    messages (tombstones) go on too.
+    """
+    text = F.col(value).cast("string")
+    return raw.select(F.get_json_object(text, key).alias("key"), text.alias("value")) if key else raw.select(text.alias("value"))
+
+
+def write_messages(messages: DataFrame, sink: dict, checkpoint: str, trigger: dict | None = None):
+    """Start a query that writes (key, value) messages to a topic, or their values to text files."""
+    options = {k: v for k, v in sink.items() if k not in ("format", "path", "key_column")}
+    own = messages if sink["format"] == "kafka" else messages.select("value")
+    writer = own.writeStream.format(sink["format"]).options(**options).option("checkpointLocation", checkpoint)
     writer = writer.trigger(**(trigger or {"processingTime": "30 seconds"}))
     return writer.start(sink["path"]) if "path" in sink else writer.start()

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marketlens.streaming import jobs
+from tests.streams import put
 
 SCHEMA = "id long, user string, kind string, amount long, ts string"
 DAY = 1_704_067_200_000
@@ -14,17 +15,16 @@ NOW = {"availableNow": True}
 
 @pytest.fixture
 def folder(tmp_path):
-    """Three files: rows out of order, repeated, without a time, and at last far later rows."""
-    path = tmp_path / "in"
-    path.mkdir()
+    """Three files, read in this order: rows out of order, repeated, without a time, and at last far later rows."""
+    path = str(tmp_path / "in")
     def row(k, ms, kind="buy"):
         return {"id": k, "user": f"u{k % 3}", "kind": kind, "amount": k, "ts": str(ms)}
     files = [[row(k, DAY + 1000 * ((k * 7) % 50)) for k in range(50)],
              [row(k, DAY + 60_000 + 1000 * k, "view") for k in range(50, 80)] + [row(7, DAY + 1000 * 49)] + [{"id": 99, "ts": "never"}, {"id": 98}],
              [row(200, DAY + 90_000_000)]]
     for n, rows in enumerate(files):
-        (path / f"{n}.json").write_text("".join(json.dumps(r) + "\n" for r in rows))
-    return str(path)
+        put(path, n, rows)
+    return path
 
 
 def stream(spark, folder):
