@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marketlens.llm.fitting import enough, hash_share
 from marketlens.llm.text import byte_column, slices, text_and_key
 
 LENGTH = 256
@@ -150,8 +151,11 @@ def fit(docs: DataFrame, keep, max_rows: int = MAX_ROWS, key: str = "doc_id", te
     # The limits are taken on the hash alone, before any text is moved.
     ranks = chosen.select("lang", "rank").distinct()
     sizes = ranks.groupBy("lang").agg(F.count(F.lit(1)).alias("size"))  # one row for each language
-    own = ranks.join(F.broadcast(sizes), "lang").where(F.col("rank") / 2.0**64 + 0.5 <= PER_LANGUAGE / F.col("size")).drop("size")
-    picked = ranks.orderBy("rank", "lang").limit(max_rows).unionByName(own).distinct()
+    own = ranks.join(F.broadcast(sizes), "lang").where(hash_share(F.col("rank")) <= PER_LANGUAGE / F.col("size")).drop("size")
+    # Only ranks that can be among the smallest go to the one task that orders them.
+    total = sizes.agg(F.sum("size")).first()[0] or 0
+    low = ranks.where(hash_share(F.col("rank")) <= enough(max_rows, total))
+    picked = low.orderBy("rank", "lang").limit(max_rows).unionByName(own).distinct()
     sample = chosen.join(F.broadcast(picked), ["lang", "rank"]).select("text", "lang", "rank").groupBy("lang", "rank").agg(F.min("text").alias("text"))
     found = sorted(sample.mapInArrow(cut, "lang string, rank long, windows binary").collect())
     if not found:

@@ -252,16 +252,20 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WORDS, percent: int = MIN_PERCENT) -> DataFrame:
-    """The rows of ``docs``, all columns, without near duplicates: the document with the smallest
-    key of each component stays (of texts that share the key, one).
+    """The rows of ``docs``, all columns, without near duplicates: one row of each component stays.
 
-    Rows with the same key and text are one document and stay or go together. Rows that are
-    linked with nothing stay, those without words or key included.
+    It is the one with the smallest key, null keys being the largest; of texts that share the key,
+    the one with the smallest hash, and of rows with the same key and text any one. Rows that are
+    linked with nothing stay; rows without words are linked only with rows of the same key and
+    text.
     """
-    rows = _labelled(_own(docs, key, text), Scratch(docs.sparkSession, "near-dup"), width, percent)
+    place = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"))
+    own = docs.select(place.alias("id"), F.xxhash64(text).alias("body"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows = _labelled(own, Scratch(docs.sparkSession, "near-dup"), width, percent)
     stays = F.col("first").isNull() | ((F.col("first.id") == F.col("id")) & (F.col("first.body") == F.col("body")))
-    kept = rows.where(stays).select(F.col("id").alias("__id"), F.col("body").alias("__body")).distinct()
-    return docs.join(kept, F.col(key).eqNullSafe(F.col("__id")) & (F.xxhash64(F.col(text)) == F.col("__body")), "left_semi")
+    kept = rows.where(stays).select(F.col("id.key").alias("__id"), F.col("body").alias("__body")).distinct()
+    found = docs.withColumn("__hash", F.xxhash64(F.col(text))).join(kept, F.col(key).eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__body")), "left_semi")
+    return found.dropDuplicates([key, "__hash"]).drop("__hash")
 
 
 def _joined_up(labels: DataFrame, links: DataFrame, scratch: Scratch, step: int) -> DataFrame:

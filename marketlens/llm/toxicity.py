@@ -6,7 +6,8 @@ A bag is the set of ``WINDOW`` consecutive words; its vector is the mean of thei
 repeated or missing word counts as a zero vector) and goes into a softmax of two classes. A text is as toxic as its most toxic bag, so length does not
 dilute a few words. Embeddings and softmax are trained together in numpy: first every bag
 learns its text's label, then only the highest bag of each text does. A final logistic step
-maps the highest bag to a probability.
+maps the highest bag to a probability; it is fitted on texts that the model at hand has not
+learned from, as each half of the sample is scored by a model of the other half.
 
 For scoring, the softmax of two classes needs only the difference of its two rows, so each
 table row is folded into one number and a text's score is a sum of table look-ups.
@@ -28,11 +29,11 @@ from marketlens.llm.text import Texts, mixed, slices, text_and_key
 
 BITS, WIDTH = 16, 8
 GRAMS = (3, 4, 5)
-WINDOW = 12
+WINDOW = 3
 EPOCHS, LAST_EPOCHS, RATE = 4, 12, 0.1
 BATCH_WORDS = 20_000
 MAX_ROWS = 2_000  # labelled rows of each class that training reads at most
-MAX_BYTES = 20_000  # longer labelled texts are not learned from
+MAX_BYTES = 30_000_000  # of all their texts together
 
 _IN_WORD = np.zeros(256, bool)
 _IN_WORD[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 256)]] = True
@@ -146,21 +147,13 @@ def _rows(cells: np.ndarray, firsts: np.ndarray, picked: np.ndarray) -> tuple[np
     return cells[np.repeat(firsts[picked] - ends[:-1], lengths) + np.arange(ends[-1])], ends
 
 
-def train(column: pa.Array, labels: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, float, float, float]:
-    """Folded table and bias, slope and intercept of the last logistic step.
-
-    ``weights`` restore the natural shares of the classes in the last step.
-    """
-    cells, cell_firsts, words, firsts = bags(column)
-    words, bag_firsts, text_bags = dealt(words, firsts)
+def embed(bagged: tuple, labels: np.ndarray) -> tuple[np.ndarray, float]:
+    """Folded table and bias, learned from the bags of all texts."""
+    cells, cell_firsts, words, bag_firsts, text_bags = bagged
     model, rng = Model(), np.random.default_rng(11)
     bag_labels = np.repeat(labels, np.diff(text_bags))
     balance = 0.5 / np.maximum(1e-9, np.bincount(labels, minlength=2) / len(labels))
 
-    def scores() -> np.ndarray:
-        table, bias = model.folded()
-        return sums(means(table[cells], cell_firsts)[words], bag_firsts) / WINDOW + bias
-
     def learn(picked: np.ndarray, passes: int, steps: int) -> None:
         """Go over the bags ``passes`` times, more often if that would be under ``steps`` updates."""
         batches = max(8, len(picked) * WINDOW // BATCH_WORDS)
@@ -172,29 +165,65 @@ def train(column: pa.Array, labels: np.ndarray, weights: np.ndarray) -> tuple[np
 
     learn(np.arange(len(bag_labels)), EPOCHS, 200)
     for _ in range(LAST_EPOCHS):
-        picked = highest(scores(), text_bags)
+        picked = highest(bag_scores(bagged, *model.folded()), text_bags)
         learn(picked[picked >= 0], 1, 40)
-    best = highest(found := scores(), text_bags)
-    x = np.where(best >= 0, found[best], 0.0) if len(found) else np.zeros(len(labels))
+    return model.folded()
+
+
+def bag_scores(bagged: tuple, table: np.ndarray, bias: float) -> np.ndarray:
+    """Log-odds of every bag."""
+    cells, cell_firsts, words, bag_firsts, _ = bagged
+    return sums(means(table[cells], cell_firsts)[words], bag_firsts) / WINDOW + bias
+
+
+def bagged_texts(column: pa.Array) -> tuple:
+    cells, cell_firsts, words, firsts = bags(column)
+    return cells, cell_firsts, *dealt(words, firsts)
+
+
+def highest_scores(bagged: tuple, table: np.ndarray, bias: float) -> np.ndarray:
+    """Log-odds of each text's highest bag; 0 for a text without words."""
+    found, text_bags = bag_scores(bagged, table, bias), bagged[-1]
+    best, full = np.zeros(len(text_bags) - 1), np.diff(text_bags) > 0
+    if full.any():
+        best[full] = np.maximum.reduceat(found, text_bags[:-1][full])
+    return best
+
+
+def train(column: pa.Array, labels: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, float, float, float]:
+    """Folded table and bias, slope and intercept of the last logistic step.
+
+    ``weights`` restore the natural shares of the classes in the last step.
+    """
+    half = np.zeros(len(labels), bool)
+    for label in (0, 1):
+        half[np.flatnonzero(labels == label)[::2]] = True
+    x = np.zeros(len(labels))
+    for own in (half, ~half):
+        if len(set(labels[~own])) == 2:
+            x[own] = highest_scores(bagged_texts(column.filter(pa.array(own))), *embed(bagged_texts(column.filter(pa.array(~own))), labels[~own]))
+    bagged = bagged_texts(column)
+    table, bias = embed(bagged, labels)
+    if not x.any():  # too few rows of a label for halves
+        x = highest_scores(bagged, table, bias)
     # Newton steps of a logistic regression on (score, 1), slightly held back.
     basis, fitted = np.stack([x, np.ones(len(x))], axis=1), np.zeros(2)
     for _ in range(30):
         p = sigmoid(basis @ fitted)
         slopes = basis.T @ (weights * (p - labels)) + 1e-2 * fitted
         fitted -= np.linalg.solve((basis * (weights * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ basis + 1e-2 * np.eye(2), slopes)
-    table, bias = model.folded()
     return table.astype(np.float32), bias, float(fitted[0]), float(fitted[1])
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, keep: Column, key: str = "doc_id", text: str = "text", label: str = "toxic") -> DataFrame:
-    """At most ``MAX_ROWS`` labelled texts of each class: (key, text, label, weight).
+    """At most ``MAX_ROWS`` labelled texts of each class, of ``MAX_BYTES`` / 2 together: (key, text, label, weight).
 
     The weight is the class's natural number of labelled rows over its number here.
     """
     classes = labels.where(keep & F.col(label).isin(0, 1))
     shares = {r[0]: r[1] / min(r[1], MAX_ROWS) for r in classes.groupBy(F.col(label).cast("int")).count().collect()}  # two rows at most
     parts = [
-        labelled_sample(docs, classes.where(F.col(label) == of), label, F.lit(True), MAX_ROWS, key, text, MAX_BYTES).withColumn("weight", F.lit(float(share)))
+        labelled_sample(docs, classes.where(F.col(label) == of), label, F.lit(True), MAX_ROWS, key, text, MAX_BYTES // 2).withColumn("weight", F.lit(float(share)))
         for of, share in sorted(shares.items())]
     if not parts:
         return labelled_sample(docs, classes, label, F.lit(False), 1, key, text).withColumn("weight", F.lit(1.0))
@@ -202,7 +231,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, keep: Column, key: str = "
 
 
 def fit(sample: DataFrame) -> tuple[np.ndarray, float, float, float]:
-    """Model of (key, text, label, weight); ``sample`` is bounded in rows and text length.
+    """Model of (key, text, label, weight); ``sample`` is bounded in rows and bytes.
 
     The sample meets in one task, whose memory ``MAX_ROWS`` and ``MAX_BYTES`` bound; the driver
     gets the folded table, which has a fixed size. Without both labels, every score is the
@@ -238,13 +267,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float, float, float], key: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            cells, cell_firsts, words, firsts = bags(batch.column("text"))
-            words, bag_firsts, text_bags = dealt(words, firsts)
-            found = sums(means(table[cells], cell_firsts)[words], bag_firsts) / WINDOW + bias
-            best = np.zeros(batch.num_rows)
-            full = np.diff(text_bags) > 0
-            if full.any():
-                best[full] = np.maximum.reduceat(found, text_bags[:-1][full])
+            best = highest_scores(bagged_texts(batch.column("text")), table, bias)
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(sigmoid(slope * best + cut))], names=[key, "score"])
 
     return text_and_key(docs, key, text).mapInArrow(run, schema)

@@ -33,6 +33,26 @@ def test_held_out_quality(spark):
     assert seen[1, 1] > 50 and seen[0, 0] > 8 and seen[1, 0] + seen[0, 1] <= 2
 
 
+def test_held_out_toxicity(spark):
+    folder = "/root/testdata/sf0.1"
+    marks = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "toxic")
+    rows = QUERIES["op9_toxicity"](spark, folder).where("held_out").join(marks, "doc_id").select("toxic", "predicted").collect()
+    seen = Counter((r.toxic, r.predicted) for r in rows)
+    # A few labels are wrong by themselves: a list of the insults finds 112 of 120, and names 121.
+    assert seen[1, 1] >= 0.88 * (seen[1, 1] + seen[1, 0]) and seen[1, 1] >= 0.86 * (seen[1, 1] + seen[0, 1])
+
+
+def test_the_sample_has_one_row_for_each_key_and_its_bounds(spark):
+    docs = spark.createDataFrame([(k % 50, "x" * (k % 50)) for k in range(300)] + [(7, "other")], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(200)], "doc_id long, label int")
+    rows = labelled_sample(docs, labels, "label", F.lit(True), 40).collect()
+    assert len({r.key for r in rows}) == len(rows) <= 40
+    every = labelled_sample(docs, labels, "label", F.lit(True), 1000).collect()
+    assert sorted(r.key for r in every) == list(range(50)) and all(r.label == r.key % 2 for r in every)
+    few = labelled_sample(docs, labels, "label", F.lit(True), 1000, max_bytes=200).collect()
+    assert 0 < sum(len(r.text) for r in few) <= 200
+
+
 def test_held_out_languages(spark):
     rows = QUERIES["op6_language_id"](spark, FOLDER).where("held_out").join(spark.read.parquet(f"{FOLDER}/documents.parquet"), "doc_id").select("lang", "lang_pred").collect()
     assert sum(r.lang == r.lang_pred for r in rows) >= 0.98 * len(rows)
@@ -52,7 +72,6 @@ def test_rare_languages_are_learned(spark):
     assert all(r.lang_pred == ["common", "rare"][r.doc_id % 2] for r in language_id.predict(new, network).collect())
 
 
-@pytest.mark.xfail(reason="80 toxic texts are too few: 9 of 15 unseen misspellings reach 0.3, 10 are asked for", strict=False)
 def test_misspelt_words_share_vectors(spark):
     rng, bad = random.Random(1), ["nastyword", "horribly", "vileness"]
     clean = ["".join(rng.choice("bcdfgl") + rng.choice("aeou") for _ in range(rng.randint(1, 4))) for _ in range(300)]
