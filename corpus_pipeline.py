@@ -21,7 +21,8 @@ from marketlens.llm.text import remainder_of
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 MIN_QUALITY = 0.3
-MAX_HIT_SHARE = 0.2  # of a document's words, for items shorter than a window
+MIN_ITEM_WORDS = 5  # of an item whose one occurrence is enough for a document to go
+MAX_HIT_SHARE = 0.2  # of a document's words, for shorter items
 
 
 def _packed(docs: DataFrame, *apart: str) -> DataFrame:
@@ -41,20 +42,21 @@ def lines(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Later copies of repeated line runs go, and documents of which nothing is left."""
     cut = line_dedup.dedup_lines(_packed(docs, "doc_id", "text"))
     left = cut.where((F.col("n_deleted") == 0) | (F.col("n_deleted") < F.col("n_lines")))
-    length = F.when(F.col("n_deleted") > 0, F.length("text")).otherwise(F.col("doc.n_chars")).cast(docs.schema["n_chars"].dataType)
-    changed = {"doc_id": F.col("doc_id"), "text": F.col("text"), "n_chars": length}
+    changed = {"doc_id": F.col("doc_id"), "text": F.col("text")}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.when(F.col("n_deleted") > 0, F.length("text")).otherwise(F.col("doc.n_chars")).cast(docs.schema["n_chars"].dataType)
     return left.select(*(changed.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One document of each group of near duplicates stays, the one with the smallest id."""
+    """One row of each group of near duplicates stays, the one with the smallest id; a null id is the largest."""
     return near_dup.one_of_each(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents with a whole benchmark window, or largely made of shorter items, go."""
+    """Documents with a whole benchmark window or a whole item of ``MIN_ITEM_WORDS`` go, as do those largely made of shorter items."""
     found = decontaminate.matches(_packed(docs, "text"), table(spark, folder, "benchmark"), key="doc")
-    long = F.exists("spans", lambda s: s["end"] - s["start"] >= decontaminate.WINDOW)
+    long = F.exists("spans", lambda s: s["end"] - s["start"] >= MIN_ITEM_WORDS)
     large = decontaminate.hit_words() > MAX_HIT_SHARE * F.col("n_words")
     return found.where(~(long | large)).select(*(F.col("text") if c == "text" else F.col(f"doc.`{c}`") for c in docs.columns))
 
