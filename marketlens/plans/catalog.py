@@ -16,6 +16,7 @@ from marketlens.plans import behaviour, clustering, comments, dashboard, labels,
 from marketlens.sources import changes as chg
 from marketlens.sources import files, pagelog, sinks
 from marketlens.sources.shop import Shop
+from marketlens.streaming.replay import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -120,7 +121,11 @@ def dim_upsert(s):
 @query
 def write_day_buckets(s):
     broken = s.page_log().select(F.when(F.col("log_id") % 29 == 0, "no time").otherwise(F.col("ts").cast("string")).alias("ts"))
-    return sinks.with_day_bucket(broken, "ts").groupBy("day").agg(F.count(F.lit(1)).alias("n"))
+    folder = new_folder(s.spark, "day-buckets")
+    sinks.write_day_buckets(broken, "ts", folder)
+    day = F.col("day").cast("string")
+    label = F.when(day == "error_bucket", day).otherwise(F.concat(F.lit("day="), day))
+    return s.spark.read.json(folder).groupBy(label.alias("day")).agg(F.count(F.lit(1)).alias("n"))
 
 
 # ---- projections and functions -------------------------------------------------------
