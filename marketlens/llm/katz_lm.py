@@ -2,7 +2,9 @@
 
 Tokens are words and one end for each text; a text's first word follows a start. The vocabulary
 is every training word that is seen at least twice, however large the corpus; all other words
-are one unknown word, which is counted like any other. Counts of pairs are discounted by
+are one class, the unknown words, which is counted like a word. Its probability is shared equally
+by its members: the training words outside the vocabulary, and one for all words that training
+does not have. So the probabilities of all words add up to one after every history. Counts of pairs are discounted by
 Good-Turing: with n_r the number of pairs seen r times, small counts are lowered by the ratio
 (r + 1) n_(r+1) / (r n_r), put right for the counts over ``CUTOFF``. The mass that a history
 loses goes to the words never seen after it, in proportion to their share of all tokens:
@@ -99,6 +101,7 @@ class Vocabulary:
             raise ValueError("a pair of words has to fit 64 bits")
         self.counts, self.firsts = np.append(0, counts), np.append(0, 1 + np.cumsum(sizes) - sizes)
         self.unknown = self.total - ends - int((counts * sizes)[own].sum())
+        self.members = int(sizes.sum()) - self.known + 1  # of the class of unknown words
         # The unknown word and the end are never impossible, even if training has none.
         self.mass = max(1, self.unknown) + max(1, ends) + int((counts * sizes)[own].sum())
 
@@ -405,6 +408,7 @@ def katz_scores(docs: DataFrame, train: Column, key: str = "doc_id", text: str =
         unseen, scale = (_answered(_blobs(group, kind), order, np.float64)[after] for kind in ("unseen", "scale"))
         p_seen = scale * discounted(totals, factors) / np.maximum(1, words.seen(history))
         p = np.where(totals > 0, p_seen, unseen * words.share(word))
+        p = np.where(word == 0, p / words.members, p)
         seen = np.append(words.ends, words.occurrences(known))[which]
         base = np.log10((seen + 0.1) / (words.total + 0.1 * (words.distinct + 1)))
         n, starts = len(texts), firsts[:-1]

@@ -46,14 +46,17 @@ def plain(docs, train, share):
             return count(pairs[h, w]) / history[h] / (taken[h] if every else 1)
         return (1 - taken[h]) / (1 - lower[h]) * single[w] / mass
 
+    members = len(set(seen) - vocabulary) + 1  # the last one for all words that training does not have
     for h in [*history, "<s>"]:
         assert sum(p(h, w) for w in single) == pytest.approx(1)
+        every = [w for w in seen if w in vocabulary] + ["<unk>"] * members + [None] * (None not in seen)
+        assert sum(p(h, w) / (members if w == "<unk>" else 1) for w in every) == pytest.approx(1)
     out = []
     for ws in own:
         before, score = "<s>", 0.0
         for w in ws:
             known = w if w in vocabulary else "<unk>"
-            score += math.log10(p(before, known))
+            score += math.log10(p(before, known) / (members if known == "<unk>" else 1))
             before = known
         out.append((len(ws), sum(seen[w] > 0 for w in ws), total, sum(math.log10((seen[w] + 0.1) / (total + 0.1 * (distinct + 1))) for w in ws), score))
     return out
