@@ -1,6 +1,7 @@
 """Results stay whole however large a group is, and odd rows don't stop or change a query."""
 
 import json
+import re
 
 from pyspark.sql import functions as F
 
@@ -8,8 +9,9 @@ from marketlens.functions import calendar as cal
 from marketlens.functions import columns as col
 from marketlens.operators import joins, ordered, windows
 from marketlens.operators.text import word_hits
-from marketlens.plans import behaviour, labels, vehicles
+from marketlens.plans import behaviour, clustering, comments, labels, vehicles, warehouse
 from marketlens.sources import sinks
+from marketlens.sources.shop import Shop
 
 STEP = 600_000
 
@@ -127,3 +129,60 @@ def test_day_parts_bands_and_signs(spark):
     assert [r.z for r in days.collect()] == ["摩羯座", "摩羯座", "水瓶座", "双子座", "巨蟹座"]
     power = spark.createDataFrame([(a,) for a in (999.99, 1000.0, 1000.01, 4000.0)], "a double").select(labels.spending_power("a").alias("s"))
     assert [r.s for r in power.collect()] == ["低消费", "高消费", "中消费", "高消费"]
+
+
+def test_moderation_names_words_in_the_order_of_the_text(spark):
+    words = spark.createDataFrame([("Alpha",), ("bad",), ("badly",), ("",)], "word string")
+    rows = spark.createDataFrame([(1, 1, "zebra BAD then Alpha word"), (2, 1, "so BADLY"), (3, 1, "x, y,bad"), (4, 1, None), (5, 1, "fine")], "id long, user_id long, comment_txt string")
+    found = {r.id: (r.violation_grade, r.violation_msg) for r in comments.moderate(rows, words).collect()}
+    assert found == {1: ("P1", "bad, Alpha"), 2: ("P1", "bad, badly"), 3: ("P0", "bad"), 4: ("", ""), 5: ("", "")}
+    tokens = {r.id: r.violation_msg for r in comments.moderate(rows, words, match="token").collect()}
+    assert tokens[1] == "bad, Alpha" and tokens[2] == "badly"
+
+
+def test_a_short_list_is_sent_to_the_texts(spark, monkeypatch):
+    texts = spark.range(400).selectExpr("id", "concat(repeat('prefixa ', 30), 'prefix', id % 7) as text")
+    words = spark.createDataFrame([(f"prefix{k}",) for k in range(3)] + [("prefixb",)], "word string")
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+    small = word_hits(texts, words, "id", "text")
+    assert re.search(r"BroadcastHashJoin \[_start#\d+\], \[_start#\d+\], Inner, BuildRight", plan(small))
+    expected = sorted((k, f"prefix{k % 7}") for k in range(400) if k % 7 < 3)
+    assert sorted((r.id, r.word) for r in small.collect()) == expected
+    monkeypatch.setattr("marketlens.operators.text.LIST_ROWS", 2)  # a long list meets the texts in a shuffled join
+    assert sorted((r.id, r.word) for r in word_hits(texts, words, "id", "text").collect()) == expected
+
+
+def test_shop_numbers_follow_the_order(spark):
+    rows = spark.range(2500).selectExpr("id % 2 as k", "id * 1000 as n").repartition(5)
+    found = {(r.k, r.n): r.shop_id for r in warehouse.shop_bucket(rows, "k", "n").collect()}
+    assert all(found[n % 2, n * 1000] == f"SHOP_{(n // 2 + 1) % 10 + 1}" for n in range(2500))
+
+
+def test_profiles_as_records(spark):
+    folder = "/root/testdata/sf0.001"
+    profiles = behaviour.user_profiles(Shop(spark, folder).page_log())
+    records = {r.user_id: json.loads(r.profile) for r in behaviour.profile_json(profiles).collect()}
+    for r in profiles.limit(20).collect():
+        own = records[r.user_id]
+        assert own["login_dates"] == r.login_dates.split(",") and own["behavior"]["has_search"] == (r.search_days != "")
+        assert own["behavior"]["purchase_days"] == [d for d in r.purchase_days.split(",") if d] and own["device"]["plat"] == r.plat
+        assert own["order_count"] == r.order_count and ",".join(own["user_tags"]) == r.user_tags
+
+
+def test_order_columns_of_the_daily_summaries(spark):
+    acts = spark.createDataFrame(
+        [(1, 7, "order", "2024-01-01 10:00:00", 2, 30.0), (1, 7, "order", "2024-01-01 11:00:00", 1, 5.0), (2, 7, "order", "2024-01-01 12:00:00", 4, 8.0), (3, 7, "favor", "2024-01-01 12:30:00", None, None)],
+        "user_id long, sku_id long, behavior_type string, behavior_time string, sku_num int, total_amount double").selectExpr(
+        "user_id", "sku_id", "behavior_type", "cast(behavior_time as timestamp_ntz) as behavior_time", "sku_num", "cast(total_amount as decimal(16,2)) as total_amount",
+        "cast(null as int) as cart_num", "cast(null as string) as appraise", "cast(null as string) as is_cancel", "cast(null as decimal(10,2)) as order_price")
+    per_user = {r.user_id: r for r in warehouse._behaviour_per_user(acts, ["sku_id"]).collect()}
+    assert (per_user[1].order_n, per_user[1].order_num, float(per_user[1].order_amount)) == (2, 3, 35.0)
+    assert (per_user[2].order_n, per_user[2].order_num, per_user[3].order_n) == (1, 4, 0)
+
+
+def test_clusters_of_separate_points(spark):
+    rows = [(k, [float(k % 3) * 50 + (k % 5) * 0.1, float(k % 3) * -20 + (k % 7) * 0.1]) for k in range(300)]
+    points = spark.createDataFrame(rows, "id long, embedding array<float>")
+    sizes = clustering.cluster_sizes(clustering.cluster(points, "embedding", 3)).collect()
+    assert sorted(r[-1] for r in sizes) == [100, 100, 100]
