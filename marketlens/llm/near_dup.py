@@ -8,10 +8,11 @@ sets of similarity s share no key with probability 1 - (1 - (1 - s**ROWS)**SIDE)
 about 1 in 10,000 at s = 0.8 and far less above.
 
 A key can only be shared if both its values are, so keys are formed from values that occur
-twice or more. In a bucket, members are compared with one hub, the same for as many
-buckets as possible; linked members form components, and only buckets that still hold several
-components go on: to another hub, and then to all pairs across components whose rarest shingles
-leave the similarity possible. Every comparison counts full sets, so the links found are exact.
+twice or more. In a bucket, members are compared with one hub, the same for as many buckets as
+possible, first in the buckets of ``SIDE`` of the tables and then in all; linked members form
+components, and only buckets that still hold several components go on, at last to all pairs across
+components whose rarest shingles leave the similarity possible. Every comparison counts full
+sets, so the links found are exact.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from marketlens.llm.text import SPACES, Texts, mixed, rows_of, slices, windows
 WORDS = 5  # words of a shingle
 MIN_PERCENT = 80
 SIDE, ROWS = 14, 3
-HUB_ROUNDS = 1
+HUB_ROUNDS = 2  # the first in SIDE of the tables
 CELLS = 1 << 20
 _WORD = ~SPACES
 _SEEDS = np.random.default_rng(99).integers(1, 1 << 63, (2, 2 * SIDE * ROWS), dtype=np.uint64) | np.uint64(1)
@@ -95,16 +96,17 @@ def _described(docs: DataFrame, width: int) -> DataFrame:
 
 
 def _buckets(nodes: DataFrame, scratch: Scratch) -> DataFrame:
-    """(node, n, bucket): table keys that two or more nodes have."""
+    """(node, n, bucket, diagonal): table keys that two or more nodes have. ``diagonal`` marks the
+    ``SIDE`` tables that pair the collections' values of one place."""
     values = nodes.select("node", "n", F.posexplode("signature").alias("at", "value"))
     shared = values.groupBy("at", "value").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("at", "value")
     kept = values.join(shared, ["at", "value"])
     own = kept.groupBy("node", "n").agg(F.collect_list(F.struct("at", "value")).alias("v"))  # 2 * SIDE at most
     sides = own.select("node", "n", F.filter("v", lambda x: x["at"] < SIDE).alias("u"), F.filter("v", lambda x: x["at"] >= SIDE).alias("w"))
     pairs = sides.select("node", "n", F.explode("u").alias("u"), "w").select("node", "n", "u", F.explode("w").alias("w"))
-    keys = scratch.save(pairs.select("node", "n", F.xxhash64("u.at", "u.value", "w.at", "w.value").alias("bucket")), "keys")
+    keys = scratch.save(pairs.select("node", "n", F.xxhash64("u.at", "u.value", "w.at", "w.value").alias("bucket"), (F.col("u.at") + SIDE == F.col("w.at")).alias("diagonal")), "keys")
     shared = keys.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("bucket")
-    found = scratch.save(keys.join(shared, "bucket").select("node", "n", "bucket"), "buckets")
+    found = scratch.save(keys.join(shared, "bucket").select("node", "n", "bucket", "diagonal"), "buckets")
     scratch.drop("keys")
     return found
 
@@ -286,7 +288,8 @@ def _components(docs: DataFrame, nodes: DataFrame, scratch: Scratch, width: int,
     labels = nodes.select("node", F.col("node").alias("label")).limit(0)
     tested: list[DataFrame] = []
     for step in range(HUB_ROUNDS + 1):
-        members = buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        own = buckets if step else buckets.where("diagonal")
+        members = own.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         mixed_up = members.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
         members = members.join(mixed_up.select("bucket"), "bucket", "left_semi")
         pairs = _to_hubs(members, step, percent) if step < HUB_ROUNDS else _across(members, sets, scratch, percent)
