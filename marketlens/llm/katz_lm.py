@@ -125,10 +125,12 @@ class Vocabulary:
 
     def pairs(self, ids: np.ndarray) -> np.ndarray:
         """History and word of each token as one number."""
-        before = np.empty_like(ids)
-        before[:1], before[1:] = self.start, ids[:-1]
-        before[before == self.end] = self.start
-        return before.astype(np.uint64) * np.uint64(self.size) + ids.astype(np.uint64)
+        found = np.empty(len(ids), np.uint64)
+        found[:1], found[1:] = self.start, ids[:-1]
+        found[found == self.end] = self.start
+        found *= np.uint64(self.size)
+        found += ids.view(np.uint64)
+        return found
 
     def split(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return (pairs // np.uint64(self.size)).astype(np.int64), (pairs % np.uint64(self.size)).astype(np.int64)
@@ -406,14 +408,16 @@ def katz_scores(docs: DataFrame, train: Column, key: str = "doc_id", text: str =
         histories, after = np.unique(history, return_inverse=True)
         order = _dealt(histories.astype(np.uint64), parts)[0]
         unseen, scale = (_answered(_blobs(group, kind), order, np.float64)[after] for kind in ("unseen", "scale"))
+        # By distinct pair and word: of the arrays as long as the chunk, few live at a time.
         p_seen = scale * discounted(totals, factors) / np.maximum(1, words.seen(history))
         p = np.where(totals > 0, p_seen, unseen * words.share(word))
-        p = np.where(word == 0, p / words.members, p)
-        seen = np.append(words.ends, words.occurrences(known))[which]
+        p = np.log10(np.where(word == 0, p / words.members, p))
+        del pairs, totals, history, word, histories, after, order, unseen, scale, p_seen
+        seen = np.append(words.ends, words.occurrences(known))
         base = np.log10((seen + 0.1) / (words.total + 0.1 * (words.distinct + 1)))
         n, starts = len(texts), firsts[:-1]
         return pa.Table.from_arrays([
-            texts.column("key"), texts.column("tokens"), pa.array(np.add.reduceat((seen > 0).astype(np.int64), starts)),
-            pa.array(np.full(n, words.total, np.int64)), pa.array(np.add.reduceat(base, starts)), pa.array(np.add.reduceat(np.log10(p)[where], starts))], names=schema.names)
+            texts.column("key"), texts.column("tokens"), pa.array(np.add.reduceat((seen > 0)[which], starts, dtype=np.int64)),
+            pa.array(np.full(n, words.total, np.int64)), pa.array(np.add.reduceat(base[which], starts)), pa.array(np.add.reduceat(p[where], starts))], names=schema.names)
 
     return met.groupBy("chunk").applyInArrow(run, schema)

@@ -1,7 +1,9 @@
 import math
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -92,8 +94,22 @@ def test_edges(spark):
 
 
 def test_integers_survive_packing():
-    import numpy as np
 
     values = np.array([0, 1, 1 << 40, 3], np.uint64)
     assert katz_lm.grown(katz_lm.shrunk(values), np.uint64).tolist() == values.tolist()
     assert len(katz_lm.grown(katz_lm.shrunk(values[:0]), np.uint64)) == 0
+
+
+def test_numbering_pairs_holds_two_arrays_of_a_chunk():
+    words = katz_lm.Vocabulary(np.array([5, 2, 1]), np.array([2, 3, 4]), 6)
+    ids = np.resize(np.array([1, 2, 0, words.end, 3]), 200_000)
+    tracemalloc.start()
+    try:
+        pairs = words.pairs(ids)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 1.5 * ids.nbytes  # the result, and a mark for each token
+    history, word = words.split(pairs)
+    assert word.tolist() == ids.tolist()
+    assert history[:6].tolist() == [words.start, 1, 2, 0, words.start, 3]
