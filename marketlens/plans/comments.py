@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from marketlens.functions.calendar import ms_day
 from marketlens.operators.joins import interval_join, lookup, word_flag
-from marketlens.operators.text import word_hits
+from marketlens.operators.text import kept_words, word_hits
 
 MINUTE = 60_000
 
@@ -27,6 +27,7 @@ def last_comma_part(text: str):
 def moderate(comments: DataFrame, words: DataFrame, text: str = "comment_txt", match: str = "inside") -> DataFrame:
     """Grade P0: the last comma part is a listed word. Grade P1: another text holds listed
     words; they are named in the order in which they first appear, two at one place by the word."""
+    words = kept_words(words)
     flagged = word_flag(comments, words, last_comma_part(text))
     hits = word_hits(comments, words, "id", text, match).groupBy("id").agg(F.collect_list("word").alias("_words"))
     placed = F.transform("_words", lambda w: F.struct(F.instr(F.lower(text), F.lower(w)).alias("at"), w.alias("w")))
