@@ -905,9 +905,9 @@ def label_records(s):
 @query
 def comment_facts(s):
     facts = comments.comment_facts(
-        s.comment_info().select("id", "user_id", "appraise", "order_id", "comment_txt", cal.millis("create_time").alias("ts_ms")),
+        s.comment_info().select("id", "user_id", "appraise", "order_id", F.md5("comment_txt").alias("text_md5"), cal.millis("create_time").alias("ts_ms")),
         s.label_orders().select("id", "consignee", (F.col("ts_ms") + F.col("id") % 100 * 1000).alias("ts_ms")), s.code_names())
-    return facts.select("id", "user_id", "dic_name", "info_consignee", "info_ts_ms", F.md5("comment_txt").alias("text_md5"), "ds")
+    return facts.select("id", "user_id", "dic_name", "info_consignee", "info_ts_ms", "text_md5", "ds")
 
 
 @query
