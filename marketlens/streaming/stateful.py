@@ -37,6 +37,11 @@ def fields_of(df: DataFrame, names: list[str]) -> list[T.StructField]:
     return [T.StructField(n, df.schema[n].dataType) for n in names]
 
 
+def utc_days(df: DataFrame) -> bool:
+    """Whether the session's days are those that windows of a day are cut by."""
+    return df.sparkSession.conf.get("spark.sql.session.timeZone") in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00")
+
+
 class Waiting(StatefulProcessor):
     """Rows that wait in a list until the watermark has reached their ``due`` time.
 
@@ -121,10 +126,18 @@ def session_restarts(log: DataFrame, minutes: int = 30) -> DataFrame:
     """``behaviour.session_restarts`` on a stream: (user_id, stat_date, session_start).
 
     Times at which a user's session begins anew, more than ``minutes`` after the running
-    session's start. State for each user and day: the start, and the times the watermark has not
-    passed; it is dropped a day after the last event.
+    session's start. Where days are those of UTC, a user's day is a window that is emitted when the
+    watermark passes its end; its state is the day's times. In other zones the state for each user
+    and day is the start, and the times the watermark has not passed; it is dropped a day after
+    the last event.
     """
     times = path_events(log).select("user_id", "stat_date", "ms", "event_time")
+    if utc_days(log):
+        days = times.groupBy(F.window("event_time", "1 day").alias("w"), "user_id", "stat_date").agg(F.array_sort(F.collect_list("ms")).alias("_times"))
+        none = F.struct(F.element_at("_times", 1).alias("start"), F.array().cast("array<long>").alias("found"))
+        begun = F.aggregate("_times", none, lambda s, ms: F.when(ms > s["start"] + minutes * 60_000, F.struct(
+            ms.alias("start"), F.concat(s["found"], F.array(ms)).alias("found"))).otherwise(s), lambda s: s["found"])
+        return days.select("user_id", "stat_date", F.explode(begun).alias("session_start"))
     return stateful(times, ["user_id", "stat_date"], Restarts(minutes * 60_000), "user_id long, stat_date string, session_start long")
 
 
