@@ -238,24 +238,18 @@ def cumulated(parts: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
 
 
 # ---- running counts ------------------------------------------------------------------
-class Places(Waiting):
-    """Rows of one key and slice of time, numbered in order when the slice has passed."""
-
-    def ripe(self, key, rows, passed, more):
-        for place, r in enumerate(rows, 1):
-            yield Row(**dict(zip(self.schema.names, r, strict=True)), _place=place)
-
-
 def places(df: DataFrame, keys: list[str], ms: str, tie: str, width: int = MINUTE_MS) -> DataFrame:
     """Each row with its place among the rows of its key and slice of ``width`` milliseconds.
 
-    Emitted when the watermark has passed the slice, whole slices at a time. The state of a key's
-    slices is spread over tasks, so a hot key is no single task; ``late.running_count_sink`` adds
-    the counts of the slices before.
+    ``ms`` is the event time in milliseconds. Emitted when the watermark has passed the slice,
+    whole slices at a time. The state of a key's slices, lists of their rows, is spread over tasks,
+    so a hot key is no single task; ``late.running_count_sink`` adds the counts of the slices before.
     """
-    sliced = df.withColumns({"_chunk": chunk_of(F.col(ms), width), "_due": ((chunk_of(F.col(ms), width) + 1) * width).cast("long")})
-    own = fields_of(sliced, [*[c for c in df.columns if c != "event_time"], "_chunk", "_due"])
-    return stateful(sliced, [*keys, "_chunk"], Places(own, "_due", [ms, tie]), T.StructType([*own, T.StructField("_place", T.LongType())])).drop("_due")
+    own = [ms, tie, *[c for c in df.columns if c not in ("event_time", ms, tie)]]
+    slices = df.groupBy(F.window("event_time", f"{width} milliseconds").alias("w"), *keys).agg(F.array_sort(F.collect_list(F.struct(*own))).alias("_rows"))
+    placed = slices.select("w", F.posexplode("_rows").alias("_at", "_row"))
+    return placed.select(*[f"_row.{c}" for c in df.columns if c != "event_time"], chunk_of(F.unix_millis("w.start"), width).alias("_chunk"),
+                         (F.col("_at") + 1).cast("long").alias("_place"))
 
 
 # ---- last value of an interval -------------------------------------------------------
