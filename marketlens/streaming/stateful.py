@@ -254,30 +254,20 @@ def places(df: DataFrame, keys: list[str], ms: str, tie: str, width: int = MINUT
 
 # ---- last value of an interval -------------------------------------------------------
 class LastValue(StatefulProcessor):
-    """The last row of each window of one key, by event time or by the clock of the machine."""
+    """The last row of each window of one key, by the clock of the machine."""
 
-    def __init__(self, fields: list[T.StructField], ms: str, tie: str, size: int, clock: str):
-        self.schema, self.ms, self.tie, self.size, self.clock = T.StructType(fields), ms, tie, size, clock
+    def __init__(self, fields: list[T.StructField], ms: str, tie: str, size: int):
+        self.schema, self.ms, self.tie, self.size = T.StructType(fields), ms, tie, size
 
     def init(self, handle):
         self.handle = handle
         self.last = handle.getMapState("last", "window_start long", self.schema)
 
     def handleInputRows(self, key, rows, timerValues):
-        found: dict[int, Row] = {}
-        now = timerValues.getCurrentProcessingTimeInMs() // self.size * self.size
-        for r in rows:
-            start = r[self.ms] // self.size * self.size if self.clock == EVENT else now
-            if start not in found or (r[self.ms], r[self.tie]) > (found[start][self.ms], found[start][self.tie]):
-                found[start] = r
-        for start, r in found.items():
-            held = self.last.getValue((start,))
-            if held is not None and self.clock == EVENT:  # by the machine's clock the later arrival counts
-                before = dict(zip(self.schema.names, held, strict=True))
-                if (before[self.ms], before[self.tie]) > (r[self.ms], r[self.tie]):
-                    continue
-            self.last.updateValue((start,), tuple(r[n] for n in self.schema.names))
-            self.handle.registerTimer(start + self.size)
+        start = timerValues.getCurrentProcessingTimeInMs() // self.size * self.size
+        found = max(rows, key=lambda r: (r[self.ms], r[self.tie]))  # a later arrival counts whatever is held
+        self.last.updateValue((start,), tuple(found[n] for n in self.schema.names))
+        self.handle.registerTimer(start + self.size)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
@@ -294,13 +284,18 @@ class LastValue(StatefulProcessor):
 def last_per_interval(df: DataFrame, key: str, ms: str, tie: str, size: int, clock: str = EVENT) -> DataFrame:
     """``windows.last_per_interval`` on a stream: the last row of each key and window.
 
-    With ``clock=EVENT`` a window is cut by ``ms`` and ends with the watermark, so rows that
-    arrive late but before it count. With ``clock=PROCESSING`` it is cut by the machine's clock and
-    the row that arrived last counts (of one micro-batch the latest by ``ms`` and ``tie``). State:
-    one row for each open window.
+    With ``clock=EVENT`` a window is cut by ``ms``, which is the event time in milliseconds, and
+    ends with the watermark, so rows that arrive late but before it count; each task takes the
+    last of its rows before they are shuffled. With ``clock=PROCESSING`` it is cut by the machine's
+    clock and the row that arrived last counts (of one micro-batch the latest by ``ms`` and
+    ``tie``). State: one row for each open window.
     """
     own = fields_of(df, [c for c in df.columns if c != "event_time"])
-    return stateful(df, [key], LastValue(own, ms, tie, size, clock), T.StructType([T.StructField("window_start", T.LongType()), *own]), clock)
+    if clock == EVENT:
+        found = df.groupBy(F.window("event_time", f"{size} milliseconds").alias("w"), key).agg(
+            F.max_by(F.struct(*[F.col(f.name) for f in own]), F.struct(ms, tie)).alias("_row"))
+        return found.select(F.unix_millis("w.start").alias("window_start"), "_row.*")
+    return stateful(df, [key], LastValue(own, ms, tie, size), T.StructType([T.StructField("window_start", T.LongType()), *own]), clock)
 
 
 # ---- rising rows and first visits, with expiry ---------------------------------------
