@@ -366,6 +366,36 @@ def repair_is_new(visits: DataFrame, ttl: int | None = None) -> DataFrame:
 
 
 # ---- daily paths ---------------------------------------------------------------------
+def user_type(rule: str, days: int, paid: int, bought: bool) -> str:
+    if rule == "v1107":
+        return "高价值用户" if paid and bought else "观望用户" if paid or bought else "普通用户"
+    if paid and bought:
+        return "高价值用户"
+    if days >= 3 and not paid:
+        return "观望用户"
+    return "新用户首单" if bought and not days else "普通用户"
+
+
+class PastDays(StatefulProcessor):
+    """The user type of whole days of one user, by the days before; days come in their order."""
+
+    def __init__(self, rule: str):
+        self.rule = rule
+
+    def init(self, handle):
+        self.past = handle.getValueState("past", "days long, paid long")
+
+    def handleInputRows(self, key, rows, timerValues):
+        days, paid = self.past.get() or (0, 0)
+        for r in sorted(rows, key=lambda r: r["analysis_date"]):
+            yield Row(**r.asDict(), user_type=user_type(self.rule, days, paid, r["bought"]))
+            days, paid = days + 1, paid + r["bought"]
+        self.past.update((days, paid))
+
+    def close(self):
+        pass
+
+
 class DailyPaths(Waiting):
     """Paths of one user's days; the state is the days before and how many of them paid."""
 
@@ -379,15 +409,6 @@ class DailyPaths(Waiting):
         super().init(handle)
         self.past = handle.getValueState("past", "days long, paid long")
 
-    def _type(self, days: int, paid: int, bought: bool) -> str:
-        if self.rule == "v1107":
-            return "高价值用户" if paid and bought else "观望用户" if paid or bought else "普通用户"
-        if paid and bought:
-            return "高价值用户"
-        if days >= 3 and not paid:
-            return "观望用户"
-        return "新用户首单" if bought and not days else "普通用户"
-
     def ripe(self, key, rows, passed, more):
         days, paid = self.past.get() or (0, 0)
         while rows:
@@ -399,7 +420,7 @@ class DailyPaths(Waiting):
                 yield Row(
                     user_id=key[0], analysis_date=date, part=part // self.part_size, path_sequence=ARROW.join(r[3] for r in own[part : part + self.part_size]),
                     conversion_status="已转化" if bought else "未转化", event_count=size, total_duration=(own[-1][1] - own[0][1]) // 1000,
-                    user_type=self._type(days, paid, bought))
+                    user_type=user_type(self.rule, days, paid, bought))
             days, paid = days + 1, paid + bought
         self.past.update((days, paid))
 
@@ -412,11 +433,24 @@ def user_paths(log: DataFrame, rule: str = "v1107", part_size: int = 1000) -> Da
     """``behaviour.user_paths`` on a stream: a user's day is emitted when the watermark passes its end.
 
     State for each user: the pages of days that are not over, which then go, and two numbers on
-    the earlier days, which stay.
+    the earlier days, which stay. Where days are those of UTC, a day is a window, and its user's
+    state is asked once for all days that end together.
     """
     if rule not in ("v1107", "v1106"):
         raise ValueError(f"unknown rule {rule!r}")
     rows = path_events(log).withColumnRenamed("stat_date", "analysis_date")
+    if utc_days(log):
+        pages = F.array_sort(F.collect_list(F.struct("ms", "log_id", "log_type")))
+        days = rows.groupBy(F.window("event_time", "1 day").alias("w"), "user_id", "analysis_date").agg(pages.alias("p"))
+        size, names = F.size("p"), F.col("p.log_type")
+        whole = days.select(
+            "user_id", "analysis_date", size.cast("long").alias("event_count"), F.array_contains(names, "payment").alias("bought"),
+            F.floor((F.element_at("p", -1)["ms"] - F.element_at("p", 1)["ms"]) / 1000).cast("long").alias("total_duration"),
+            F.transform(F.sequence(F.lit(1), size, F.lit(part_size)), lambda k: F.array_join(F.slice(names, k, part_size), ARROW)).alias("parts"))
+        typed = stateful(whole, ["user_id"], PastDays(rule), T.StructType([*whole.schema.fields, T.StructField("user_type", T.StringType())]), NO_CLOCK)
+        return typed.select("user_id", "analysis_date", F.posexplode("parts").alias("_part", "path_sequence"), "bought", "event_count", "total_duration", "user_type").select(
+            "user_id", "analysis_date", F.col("_part").cast("long").alias("part"), "path_sequence",
+            F.when(F.col("bought"), "已转化").otherwise("未转化").alias("conversion_status"), "event_count", "total_duration", "user_type")
     due = F.unix_millis(F.date_add(F.to_date("analysis_date"), 1).cast("timestamp"))
     held = rows.select("user_id", "analysis_date", "ms", "log_id", "log_type", due.alias("_due"), "event_time")
     return stateful(held, ["user_id"], DailyPaths(part_size, rule), PATH_ROW)

@@ -94,7 +94,6 @@ def test_edges(spark):
 
 
 def test_integers_survive_packing():
-
     values = np.array([0, 1, 1 << 40, 3], np.uint64)
     assert katz_lm.grown(katz_lm.shrunk(values), np.uint64).tolist() == values.tolist()
     assert len(katz_lm.grown(katz_lm.shrunk(values[:0]), np.uint64)) == 0
