@@ -466,59 +466,53 @@ PROFILE_ROW = (
 
 
 class Profile(StatefulProcessor):
-    """Everything a user's profile is made of, in maps: days, words, orders, products, networks."""
+    """Everything a user's profile is made of, in maps: days, words, orders, products, networks.
+
+    The maps are one value, which a micro-batch asks for and writes once: the profile needs all
+    of them whenever rows of the user come.
+    """
+
+    FLAGS, THINGS = ("searched", "bought", "browsed"), ("word", "order", "product", "net")
 
     def __init__(self, keywords: int):
         self.keywords = keywords
 
     def init(self, handle):
-        self.days = handle.getMapState("days", "day string", "searched boolean, bought boolean, browsed boolean")
-        self.counts = handle.getMapState("counts", "kind string, thing string", "n long")
-        self.base = handle.getValueState("base", T.StructType([
-            *[T.StructField(s, T.LongType()) for s in (*SLOTS, "events", "ms", "log_id")],
-            *[T.StructField(c, T.StringType()) for c in ("brand", "plat", "platv")]]))
+        text, number = T.StringType(), T.LongType()
+        self.held = handle.getValueState("held", T.StructType([
+            *[T.StructField(s, number) for s in (*SLOTS, "events", "ms", "log_id")], *[T.StructField(c, text) for c in ("brand", "plat", "platv")],
+            T.StructField("days", T.MapType(text, T.IntegerType())), *[T.StructField(c, T.MapType(text, number)) for c in self.THINGS]]))
 
     def handleInputRows(self, key, rows, timerValues):
-        base = list(self.base.get() or (*[0] * 5, None, None, None, None, None))
-        days: dict[str, list[bool]] = {}
-        counts: dict[tuple[str, str], int] = {}
+        held = self.held.get()
+        base = list(held[:10]) if held is not None else [0] * 5 + [None] * 5
+        days, *found = (dict(m) for m in held[10:]) if held is not None else ({} for _ in range(5))
+        things = dict(zip(self.THINGS, found, strict=True))
         for r in rows:
             kind = r["log_type"]
             searched = kind == "search" and r["keyword"] is not None
             bought = kind == "payment" or (kind == "order_confirm" and r["order_id"] is not None)
             browsed = kind in ("product_detail", "product_list")
-            day = days.setdefault(r["stat_date"], [False] * 3)
-            for n, flag in enumerate((searched, bought, browsed)):
-                day[n] = day[n] or flag
+            days[r["stat_date"]] = days.get(r["stat_date"], 0) | sum(1 << n for n, flag in enumerate((searched, bought, browsed)) if flag)
             base[(r["_hour"] // 6 - 1) % 4] += 1
             base[4] += 1
             if base[5] is None or (r["ms"], r["log_id"]) < (base[5], base[6]):
                 base[5:] = r["ms"], r["log_id"], r["brand"], r["plat"], r["platv"]
-            for name, thing, held in (("word", r["keyword"], searched and not r["_blank"]), ("order", r["order_id"], bought),
-                                      ("product", r["product_id"], browsed), ("net", r["net"], True)):
-                if held and thing is not None:
-                    counts[name, str(thing)] = counts.get((name, str(thing)), 0) + 1
-        for day, flags in days.items():
-            held = self.days.getValue((day,)) or (False,) * 3
-            self.days.updateValue((day,), tuple(a or b for a, b in zip(flags, held, strict=True)))
-        for thing, n in counts.items():
-            held = self.counts.getValue(thing)
-            self.counts.updateValue(thing, (n + (held[0] if held is not None else 0),))
-        self.base.update(tuple(base))
-        yield self._profile(key[0], base)
-
-    def _profile(self, user: int, base: list) -> Row:
-        days = sorted((k[0], tuple(v)) for k, v in self.days.iterator())
-        found: dict[str, list[tuple[str, int]]] = {"word": [], "order": [], "product": [], "net": []}
-        for (kind, thing), (n,) in self.counts.iterator():
-            found[kind].append((thing, n))
-        best = sorted(found["word"], key=lambda w: (-w[1], w[0].encode()))[: self.keywords]
-        listed = [",".join(d for d, flags in days if flags[n]) for n in range(3)]
+            for name, thing, counts in (("word", r["keyword"], searched and not r["_blank"]), ("order", r["order_id"], bought),
+                                        ("product", r["product_id"], browsed), ("net", r["net"], True)):
+                if counts and thing is not None:
+                    things[name][str(thing)] = things[name].get(str(thing), 0) + 1
+        self.held.update((*base, days, *things.values()))
+        yield self._profile(key[0], base, days, things)
+
+    def _profile(self, user: int, base: list, days: dict[str, int], things: dict[str, dict[str, int]]) -> Row:
+        best = sorted(things["word"].items(), key=lambda w: (-w[1], w[0].encode()))[: self.keywords]
+        listed = [",".join(d for d, flags in sorted(days.items()) if flags >> n & 1) for n in range(len(self.FLAGS))]
         return Row(
-            user_id=user, login_days_count=len(days), login_dates=",".join(d for d, _ in days), search_days=listed[0], purchase_days=listed[1],
+            user_id=user, login_days_count=len(days), login_dates=",".join(sorted(days)), search_days=listed[0], purchase_days=listed[1],
             browse_days=listed[2], **dict(zip(SLOTS, base[:4], strict=True)), top_search_keywords=",".join(w for w, _ in best),
-            order_count=len(found["order"]), browsed_products_count=len(found["product"]), search_keyword_count=len(found["word"]),
-            brand=base[7], plat=base[8], platv=base[9], network_types=",".join(f"{w}={n}" for w, n in sorted(found["net"])), events=base[4])
+            order_count=len(things["order"]), browsed_products_count=len(things["product"]), search_keyword_count=len(things["word"]),
+            brand=base[7], plat=base[8], platv=base[9], network_types=",".join(f"{w}={n}" for w, n in sorted(things["net"].items())), events=base[4])
 
     def close(self):
         pass
@@ -529,7 +523,7 @@ def user_profiles(log: DataFrame, keywords: int = 10) -> DataFrame:
     micro-batch that has rows of the user, with ``events``, the number of rows so far.
 
     The row with the most events is the present profile, whatever the order of arrival. State
-    for each user: one entry for each different day, word, order, product and network.
+    for each user: one value with an entry for each different day, word, order, product and network.
     """
     rows = with_ms(log.where("user_id is not null and log_type is not null and ts is not null"))
     held = rows.select(
