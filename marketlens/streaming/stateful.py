@@ -546,35 +546,29 @@ class LogProfile(StatefulProcessor):
         self.part_size = part_size
 
     def init(self, handle):
-        self.values = handle.getMapState("values", "kind string, value string", "ts long")
-        self.base = handle.getValueState("base", "pv long, ts long, searched long, last_search string")
+        # One value, which a micro-batch asks for and writes once.
+        self.held = handle.getValueState("held", "pv long, ts long, searched long, last_search string, "
+                                         + ", ".join(f"{k} array<string>" for k in self.KINDS) + ", words map<string, long>")
 
     def handleInputRows(self, key, rows, timerValues):
-        pv, ts, searched, last = self.base.get() or (0, None, None, None)
-        new: dict[tuple[str, str], int | None] = {}
+        pv, ts, searched, last, *found, words = self.held.get() or (0, None, None, None, *[()] * len(self.KINDS), {})
+        values, words = {k: set(v) for k, v in zip(self.KINDS, found, strict=True)}, dict(words)
         for r in rows:
             pv += 1
             ts = max((t for t in (ts, r["ts"]) if t is not None), default=None)
             for kind in self.KINDS:
                 if r[kind] is not None:
-                    new[kind, r[kind]] = None
+                    values[kind].add(r[kind])
             word = r["search_item"]
             if word is not None and r["ts"] is not None:
                 if searched is None or (r["ts"], word) > (searched, last):
                     searched, last = r["ts"], word
-                new["word", word] = min(r["ts"], new.get(("word", word), r["ts"]))
-        for value, first in new.items():
-            held = self.values.getValue(value)
-            if held is None or (first is not None and first < held[0]):
-                self.values.updateValue(value, (first,))
-        self.base.update((pv, ts, searched, last))
-        found: dict[str, list] = {kind: [] for kind in (*self.KINDS, "word")}
-        for (kind, value), (first,) in self.values.iterator():
-            found[kind].append((first, value))
-        words = [w for _, w in sorted(found["word"])]
-        for part in range(0, max(1, len(words)), self.part_size):
-            yield Row(uid=key[0], pv=pv, **{k: ",".join(sorted(v for _, v in found[k])) for k in self.KINDS}, last_search=last, ts_ms=ts,
-                      part=part // self.part_size, search_item=",".join(words[part : part + self.part_size]))
+                words[word] = min(r["ts"], words.get(word, r["ts"]))
+        self.held.update((pv, ts, searched, last, *(sorted(v) for v in values.values()), words))
+        listed = [w for _, w in sorted((first, w) for w, first in words.items())]
+        for part in range(0, max(1, len(listed)), self.part_size):
+            yield Row(uid=key[0], pv=pv, **{k: ",".join(sorted(v)) for k, v in values.items()}, last_search=last, ts_ms=ts,
+                      part=part // self.part_size, search_item=",".join(listed[part : part + self.part_size]))
 
     def close(self):
         pass
@@ -584,8 +578,8 @@ def user_log_profile(pages: DataFrame, part_size: int = 1000) -> DataFrame:
     """``labels.user_log_profile`` on a stream of reshaped page-log rows without repeats
     (``jobs.first_per_payload``), in update mode: a user's profile whenever rows of the user come.
 
-    The row with the largest ``pv`` is the present one. State for each user: one entry for each
-    different device value and search word.
+    The row with the largest ``pv`` is the present one. State for each user: one value with an
+    entry for each different device value and search word.
     """
     return stateful(pages.drop("event_time"), ["uid"], LogProfile(part_size), LOG_PROFILE_ROW, NO_CLOCK, "update")
 
