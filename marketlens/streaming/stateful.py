@@ -9,6 +9,7 @@ store, is bounded as each operator says, and continues from the checkpoint after
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, Row
@@ -607,7 +608,8 @@ class SnapshotPhase(StatefulProcessor):
             self.phase.update((True, count, None))
             yield Row(db=key[0], table=key[1], snapshot_rows=count, reason="live")
         else:
-            timer = timerValues.getCurrentProcessingTimeInMs() + self.idle
+            # The batch's own time is its start; rows that are worked on later have come since.
+            timer = max(timerValues.getCurrentProcessingTimeInMs(), time.time_ns() // 1_000_000) + self.idle
             self.handle.registerTimer(timer)
             self.phase.update((False, count, timer))
 
