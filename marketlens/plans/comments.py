@@ -28,12 +28,17 @@ def moderate(comments: DataFrame, words: DataFrame, text: str = "comment_txt", m
     """Grade P0: the last comma part is a listed word. Grade P1: another text holds listed
     words; they are named in the order in which they first appear, two at one place by the word."""
     words = kept_words(words)
-    flagged = word_flag(comments, words, last_comma_part(text))
     hits = word_hits(comments, words, "id", text, match).groupBy("id").agg(F.collect_list("word").alias("_words"))
-    placed = F.transform("_words", lambda w: F.struct(F.instr(F.lower(text), F.lower(w)).alias("at"), w.alias("w")))
+    # One character more than the longest word tells a longer part from all words.
+    longest = words.select(F.max(F.length(words.columns[0]))).scalar()
+    last = F.substring(last_comma_part(text), F.lit(1), longest + 1)
+    rows = comments.select("id", "user_id", F.lower(text).alias("_text"), last.alias("_last")).join(hits, "id", "left")
+    placed = F.transform("_words", lambda w: F.struct(F.instr("_text", F.lower(w)).alias("at"), w.alias("w")))
     named = F.array_join(F.transform(F.array_sort(placed), lambda p: p["w"]), ", ")
+    # The texts stay behind; only what they said meets the list.
+    flagged = word_flag(rows.select("id", "user_id", "_last", named.alias("_named")), words, F.col("_last"))
     first = F.col("is_violation") == 1
-    return flagged.join(hits, "id", "left").select(
+    return flagged.select(
         "id", "user_id", "is_violation",
-        F.when(first, "P0").when(F.col("_words").isNotNull(), "P1").otherwise("").alias("violation_grade"),
-        F.when(first, last_comma_part(text)).when(F.col("_words").isNotNull(), named).otherwise("").alias("violation_msg"))
+        F.when(first, "P0").when(F.col("_named").isNotNull(), "P1").otherwise("").alias("violation_grade"),
+        F.when(first, F.col("_last")).when(F.col("_named").isNotNull(), F.col("_named")).otherwise("").alias("violation_msg"))

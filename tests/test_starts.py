@@ -1,11 +1,13 @@
 """The search of texts for all listed words at once, and what it sends through Spark."""
 
 import random
+import re
 
 import pyarrow as pa
 
 from marketlens.operators import starts, text
 from marketlens.operators.text import word_hits
+from marketlens.plans import comments
 from marketlens.sources import shop
 
 
@@ -56,3 +58,26 @@ def test_texts_are_not_shuffled_for_their_labels(spark, tmp_path, monkeypatch):
         assert [r.word for r in words.collect()] == [r.word for r in shuffled.collect()] == ["wicked"]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_moderation_shuffles_a_text_once(spark):
+    """Rows of one id share their words, rows without an id have none; the flag is found without the texts."""
+    words = spark.createDataFrame([("Bad",), ("worse",), ("",), (None,)], "word string")
+    rows = spark.createDataFrame(
+        [(1, 1, "so worse, then bad"), (1, 2, "worse"), (1, 3, None), (1, 4, "x,Bad,,"), (None, 5, "bad"), (None, 6, "bad,Bad"), (2, 7, ""), (3, 8, "x" * 50), (4, 9, "fine,wors"), (5, 10, None)],
+        "id long, user_id long, comment_txt string")
+    expected = [
+        (1, 0, "P1", "worse, Bad"), (2, 1, "P0", "worse"), (3, 0, "P1", "Bad, worse"), (4, 1, "P0", "Bad"), (5, 0, "", ""),
+        (6, 1, "P0", "Bad"), (7, 1, "P0", ""), (8, 0, "", ""), (9, 0, "", ""), (10, 0, "", "")]
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for bytes_ in (threshold, "-1"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bytes_)
+            found = comments.moderate(rows, words)
+            assert sorted((r.user_id, r.is_violation, r.violation_grade, r.violation_msg) for r in found.collect()) == expected
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert re.search(r"Join LeftOuter, \(_value#\d+ = _word#\d+\)\n *:- Project \[id#\d+L, user_id#\d+L, _last#\d+, array_join\(.* AS _named#\d+, _last#\d+ AS _value#\d+\]\n", plan)
+        none = comments.moderate(rows, words.limit(0)).collect()
+        assert {(r.is_violation, r.violation_grade, r.violation_msg) for r in none} == {(0, "", "")} and len(none) == len(expected)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
