@@ -1,9 +1,9 @@
 """Listed strings found at any place of whole texts.
 
 The list is a trie whose steps are eight bytes: every depth has a sorted table of the steps that
-are taken there, and all places of a piece of text are looked up together. The cost of a place
-does not depend on the length of the list or on how many listed strings share a start. UTF-8 is
-searched as bytes: a string stands in a text where its bytes stand.
+are taken there, and all places of a piece of text are looked up together. Strings that share a
+start are not met one by one, so the cost of a place grows slowly with the list. UTF-8 is searched
+as bytes: a string stands in a text where its bytes stand.
 """
 
 from __future__ import annotations

@@ -17,7 +17,7 @@ BRANDS = "array('TCL','苹果','联想','小米','欧莱雅','香奈儿','其他
 TOP_CATEGORIES = "array('数码','手机','家居家装','图书、音像、电子书刊','厨具','玩具乐器','珠宝')"
 INTERESTS = "array('时尚与潮流','性价比','健康与养生','家庭与育儿','科技与数码','学习与发展','其他')"
 
-LABEL_ROWS = 2_000_000  # labels that are sent to every task, some 40 bytes each
+LABEL_ROWS = 2_000_000  # labels that are sent to every task, some 70 bytes each
 
 
 def shop_of(key: str) -> str:
